@@ -13,14 +13,13 @@ def round_half(value: Column, digits: int) -> Column:
     values such as 1.005; floor-based rounding is reproducible everywhere.
     """
     scale = F.lit(float(10**digits))
-    magnitude = F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+    return F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
 
 
 def cents(amount: Column) -> Column:
     """Money as whole cents, so sums do not depend on row order."""
-    whole = F.floor(F.abs(amount) * F.lit(100.0) + F.lit(0.5)).cast("bigint")
-    return F.when(amount < 0, -whole).otherwise(whole)
+    whole = F.floor(F.abs(amount) * F.lit(100.0) + F.lit(0.5))
+    return (F.signum(amount) * whole).cast("bigint")
 
 
 def from_cents(total: Column) -> Column:

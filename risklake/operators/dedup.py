@@ -1,112 +1,148 @@
 """Exact duplicate detection without sorting or shuffling whole rows.
 
 A row is a duplicate when an earlier row of its group exists. Ranking every
-group with a window would shuffle all rows by the key and put a hot key (many
-rows without an id, say) into one task. Instead:
-
-1. count rows per key hash: one narrow aggregation, combined map-side;
-2. keep only rows of hashes seen more than once (a semi join: broadcast when the
-   contested set measures small, sort-merge with skew splitting otherwise);
-3. take each contested group's first row as an aggregated minimum, again
-   combined map-side, so a hot group costs no more than any other;
+group with a window would shuffle all rows once per check and put a hot key
+(many rows without an id, say) into one task. Instead, for all checks together:
+
+1. one pass over the key columns counts rows per key hash, combined map-side;
+2. one pass over the rows keeps those whose hash was seen more than once. The
+   contested hashes are a written table, so the planner knows their size before
+   it plans the join: broadcast while small, sort-merge with skew splitting
+   otherwise;
+3. each contested group's first row is an aggregated minimum, again combined
+   map-side, so a hot group costs no more than any other;
 4. every other contested row is a duplicate: an anti join on row addresses,
    which are unique and therefore evenly spread.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from risklake.config import CONTENT_KEY
+from risklake.session import written
 from risklake.sources.layers import ROW_ADDRESS
 
-ID_KEY = ("transaction_id",)
-ID_ORDER = (
-    "timestamp",
-    "customer_id",
-    "amount",
-    "transaction_type",
-    "channel",
-    "merchant_category",
-    "status",
-    "risk_score",
-    "segment",
-    "credit_score",
-    "is_fraud",
-)
-CONTENT_ORDER = ("transaction_id", "segment", "credit_score", "is_fraud")
-
-
-def duplicate_rows(
-    df: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    address: Sequence[str] = ROW_ADDRESS,
-) -> DataFrame:
-    """Addresses of all rows that are not the first of their key group.
 
-    NULL keys form one group. Ties on ``order`` fall back to the row address,
-    so exactly one row of every group survives.
-    """
-    hashed = F.xxhash64(*key).alias("_h")
-    contested = (
-        df.select(hashed)
-        .groupBy("_h")
-        .agg(F.count("*").alias("_n"))
-        .where("_n > 1")
-        .select("_h")
-    )
-    columns = list(dict.fromkeys([*key, *order, *address]))
-    candidates = df.select(hashed, *columns).join(contested, "_h", "left_semi")
-    first = (
-        candidates.groupBy(*key)
-        .agg(F.min(F.struct(*order, *address)).alias("_first"))
-        .select(*[F.col(f"_first.{a}").alias(a) for a in address])
-    )
-    return candidates.select(*address).join(first, list(address), "left_anti")
+class Check(NamedTuple):
+    """Rows agreeing on ``key`` are one group; the first in ``order`` is kept."""
+
+    key: Sequence[str]
+    order: Sequence[str]
+
+
+# The content key uses the source columns as delivered: ' APP ' and 'app' are
+# different contents.
+CHECKS: dict[str, Check] = {
+    "repete_id": Check(
+        ("transaction_id",),
+        (
+            "timestamp",
+            "customer_id",
+            "amount",
+            "transaction_type",
+            "channel",
+            "merchant_category",
+            "status",
+            "risk_score",
+            "segment",
+            "credit_score",
+            "is_fraud",
+        ),
+    ),
+    "repete_conteudo": Check(
+        CONTENT_KEY, ("transaction_id", "segment", "credit_score", "is_fraud")
+    ),
+}
 
 
 def duplicate_marks(
-    raw: DataFrame,
+    df: DataFrame,
+    checks: Mapping[str, Check] = CHECKS,
     address: Sequence[str] = ROW_ADDRESS,
-    id_order: Sequence[str] = ID_ORDER,
-    content_order: Sequence[str] = CONTENT_ORDER,
+    keys_only: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per duplicate: its address and which of the two checks it fails.
+    """One row per duplicate: its address and a flag per check it fails.
 
-    The content key uses the source columns as delivered: ``' APP '`` and
-    ``'app'`` are different contents.
+    NULL keys form one group. Ties on the order fall back to the row address, so
+    exactly one row of every group survives. ``keys_only`` may supply the same
+    rows without addresses, so that the first pass reads the keys alone.
     """
-    by_id = duplicate_rows(raw, ID_KEY, id_order, address).select(
-        *address, F.lit(True).alias("repete_id"), F.lit(False).alias("repete_conteudo")
+    names = list(checks)
+    source = df if keys_only is None else keys_only
+    pairs = F.array(
+        *[
+            F.struct(F.lit(n).alias("_check"), F.xxhash64(*checks[n].key).alias("_h"))
+            for n in names
+        ]
+    )
+    contested = written(
+        source.select(F.inline(pairs))
+        .groupBy("_check", "_h")
+        .agg(F.count("*").alias("_n"))
+        .where("_n > 1")
+        .select("_check", "_h"),
+        "contestados",
     )
-    by_content = duplicate_rows(raw, CONTENT_KEY, content_order, address).select(
-        *address, F.lit(False).alias("repete_id"), F.lit(True).alias("repete_conteudo")
+    used = dict.fromkeys(c for check in checks.values() for c in (*check.key, *check.order))
+    columns = [c for c in df.columns if c in used or c in address]
+    suspects = df.select(
+        *columns, *[F.xxhash64(*checks[n].key).alias(f"_h_{n}") for n in names]
+    )
+    for n in names:
+        mine = contested.where(F.col("_check") == n).select(
+            F.col("_h").alias(f"_h_{n}"), F.lit(True).alias(f"_em_{n}")
+        )
+        suspects = suspects.join(mine, f"_h_{n}", "left")
+    flagged = [F.coalesce(f"_em_{n}", F.lit(False)).alias(f"_em_{n}") for n in names]
+    candidates = written(
+        suspects.select(*columns, *flagged).where(" OR ".join(f"_em_{n}" for n in names)),
+        "candidatos",
     )
+    failed = [
+        _all_but_first(candidates.where(F.col(f"_em_{n}")), checks[n], address).select(
+            *address, *[F.lit(m == n).alias(m) for m in names]
+        )
+        for n in names
+    ]
     return (
-        by_id.unionByName(by_content)
+        reduce(DataFrame.unionByName, failed)
         .groupBy(*address)
-        .agg(
-            F.bool_or("repete_id").alias("repete_id"),
-            F.bool_or("repete_conteudo").alias("repete_conteudo"),
-        )
+        .agg(*[F.bool_or(n).alias(n) for n in names])
+    )
+
+
+def _all_but_first(candidates: DataFrame, check: Check, address: Sequence[str]) -> DataFrame:
+    order = dict.fromkeys((*check.order, *address))
+    first = (
+        candidates.groupBy(*check.key)
+        .agg(F.min(F.struct(*order)).alias("_first"))
+        .select(*[F.col(f"_first.{a}").alias(a) for a in address])
     )
+    return candidates.select(*address).join(first, list(address), "left_anti")
 
 
 def with_marks(
-    raw: DataFrame, marks: DataFrame, address: Sequence[str] = ROW_ADDRESS
+    raw: DataFrame,
+    marks: DataFrame,
+    few: bool,
+    checks: Mapping[str, Check] = CHECKS,
+    address: Sequence[str] = ROW_ADDRESS,
 ) -> DataFrame:
-    """Raw rows plus the two duplicate flags.
+    """Raw rows plus one duplicate flag per check.
 
-    Most loads have few duplicates and the join broadcasts the marks; otherwise
-    it sorts by address, a unique and evenly spread key.
+    ``few`` says the marks were counted and are small enough to broadcast, which
+    leaves raw rows where they are. Otherwise both sides are merged by address,
+    a unique and evenly spread key.
     """
-    joined = raw.join(marks, list(address), "left")
+    side = F.broadcast(marks) if few else marks.hint("merge")
+    joined = raw.join(side, list(address), "left")
     return joined.select(
         *[c for c in raw.columns if c not in address],
-        F.coalesce("repete_id", F.lit(False)).alias("repete_id"),
-        F.coalesce("repete_conteudo", F.lit(False)).alias("repete_conteudo"),
+        *[F.coalesce(n, F.lit(False)).alias(n) for n in checks],
     )

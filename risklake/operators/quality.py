@@ -90,18 +90,28 @@ def rule_hits(staged: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return staged.agg(tallies.alias("t")).select(F.inline("t"))
 
 
-def split(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows with quality flags, rejected rows with their reasons)."""
+FLAGS = ("flag_valor_no_piso", "flag_score_no_limite", "flag_fraude_aprovada")
+
+
+def with_flags(evaluated: DataFrame) -> DataFrame:
+    """Add the remarks an analyst should know about an otherwise valid row."""
     c = F.col
+    remarks = (
+        c("amount") == 5.0,
+        c("credit_score").isin(300, 900),
+        c("is_fraud") & (c("status") == "approved"),
+    )
     partitions = [p for p in ("year", "month") if p in evaluated.columns]
-    valid = evaluated.where(c("motivo") == "").select(
-        *CLEAN_COLUMNS,
-        (c("amount") == 5.0).alias("flag_valor_no_piso"),
-        c("credit_score").isin(300, 900).alias("flag_score_no_limite"),
-        (c("is_fraud") & (c("status") == "approved")).alias("flag_fraude_aprovada"),
-        *partitions,
+    return evaluated.select(
+        *CLEAN_COLUMNS, *[r.alias(f) for f, r in zip(FLAGS, remarks)], "motivo", *partitions
     )
-    rejected = evaluated.where(c("motivo") != "").select(*CLEAN_COLUMNS, "motivo")
+
+
+def split(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows with quality flags, rejected rows with their reasons)."""
+    flagged = with_flags(evaluated)
+    valid = flagged.where(F.col("motivo") == "").drop("motivo")
+    rejected = flagged.where(F.col("motivo") != "").select(*CLEAN_COLUMNS, "motivo")
     return valid, rejected
 
 

@@ -13,30 +13,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from risklake.functions.numeric import percent, round_half
+from risklake.session import written
 
+SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
 BUCKETS = 256
 
 
+def _bucket(bounds: str, value: Column) -> Column:
+    """How many of the sorted bounds lie below the value, by binary search."""
+    steps = F.array(*[F.lit(s) for s in SEARCH_STEPS])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda i, s: F.when(F.get(bounds, i + s - 1) < value, i + s).otherwise(i),
+    )
+
+
 def running_total(
     df: DataFrame,
     series: Sequence[str],
     order: str,
     values: Sequence[str],
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Add ``cum_<value>``: inclusive sums in ascending ``order`` per series.
 
     ``order`` must be numeric and unique within a series (aggregate ties first).
-    The broadcast sides hold one row per series and one per bucket: callers keep
-    series few (a variable, a month, a cut), never a row-level key.
+    Input and bounds are written tables: both branches below must see the same
+    buckets. The broadcast sides hold one row per series and one per bucket:
+    callers keep series few (a variable, a month, a cut), never a row-level key.
     """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*series).agg(
-        F.percentile_approx(order, probabilities, 100 * buckets).alias("_bounds")
+    df = written(df, "ordem")
+    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
+    bounds = written(
+        df.groupBy(*series).agg(
+            F.percentile_approx(order, probabilities, 100 * BUCKETS).alias("_bounds")
+        ),
+        "limites",
     )
     bucketed = df.join(F.broadcast(bounds), list(series)).select(
         *df.columns,
-        F.size(F.filter("_bounds", lambda b: b < F.col(order))).alias("_bucket"),
+        _bucket("_bounds", F.col(order)).alias("_bucket"),
     )
     before = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -140,9 +156,12 @@ def capture_top(
     histogram; only the rows tied at a cut score are ordered by id. One row per
     fraction is broadcast.
     """
-    hist = df.groupBy(score).agg(
-        F.count("*").alias("n"), F.count_if(F.col(label)).alias("f")
-    ).where(F.col(score).isNotNull())
+    hist = written(
+        df.where(F.col(score).isNotNull())
+        .groupBy(score)
+        .agg(F.count("*").alias("n"), F.count_if(F.col(label)).alias("f")),
+        "histograma",
+    )
     ranked = running_total(
         hist.select(F.lit(1).alias("_s"), score, (-F.col(score)).alias("_desc"), "n", "f"),
         ["_s"],

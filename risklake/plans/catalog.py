@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from risklake.config import CLEAN_COLUMNS
 from risklake.functions.numeric import round_half
@@ -101,13 +102,11 @@ def _sql_view(lake: Lake) -> DataFrame:
 def _stream(lake: Lake, name: str, df: DataFrame, partitions: tuple[str, ...] = ()) -> DataFrame:
     out, checkpoint = loads.fresh(lake, name), loads.fresh(lake, f"{name}-progresso")
     jobs.run(df, out, checkpoint, partitions).awaitTermination()
-    return lake.spark.read.schema(df_schema(df)).parquet(out)
+    return lake.spark.read.schema(stored_schema(df)).parquet(out)
 
 
-def df_schema(df: DataFrame):
+def stored_schema(df: DataFrame):
     """Stream schema as stored: zone-less event times."""
-    from pyspark.sql import types as T
-
     return T.StructType(
         [
             T.StructField(
@@ -199,7 +198,7 @@ CATALOG: dict[str, Query] = {
     "dedup_id": _survivors("repete_id"),
     "dedup_content": _survivors("repete_conteudo"),
     "rule_hits": lambda lake: rule_hits(lake.staged(), quality_rules(lake.bounds)),
-    "rule_matrix": lambda lake: rule_matrix(lake.bronze, lake.bounds),
+    "rule_matrix": lambda lake: rule_matrix(lake, loads.fresh(lake, "falhas")),
     "bronze": lambda lake: lake.bronze,
     "quarantine": lambda lake: lake.quarantine,
     "bronze_flags": lambda lake: flag_totals(lake.bronze),

@@ -6,41 +6,60 @@ whole data set and the outcome of every copy is known beforehand.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risklake.config import RAW_SCHEMA, RuleBounds
-from risklake.operators.dedup import CONTENT_ORDER, duplicate_marks, with_marks
-from risklake.operators.quality import evaluate, outcome_matrix, quality_rules, stage
+from risklake.config import RAW_SCHEMA
+from risklake.operators.quality import evaluate, outcome_matrix, quality_rules
+from risklake.plans.lakehouse import Lake
 from risklake.sources.raw_files import typed_rows
 
-COPY_ADDRESS = ("_origem", "_copia")
-NEW_ID_OFFSET = 10**15
 
-# Fault -> (text put into columns, outcome).
+@dataclass(frozen=True)
+class Fault:
+    name: str
+    outcome: str
+    change: dict[str, str] = field(default_factory=dict)
+    new_id: bool = True
+    same_time: bool = False
+
+
 # --- fixed values -----------------------------------------------------------
-FAULTS: tuple[tuple[str, dict[str, str], str], ...] = (
-    ("copia_exata", {}, "duplicata_id;duplicata_conteudo"),
-    ("conteudo_com_outro_id", {}, "duplicata_conteudo"),
-    ("valor_negativo", {"amount": "-150.00"}, "valor_invalido"),
-    ("valor_zero", {"amount": "0"}, "valor_invalido"),
-    ("risk_score_150", {"risk_score": "150"}, "risk_score_invalido"),
-    ("credit_score_1000", {"credit_score": "1000"}, "credit_score_invalido"),
-    ("fora_do_periodo", {}, "timestamp_invalido"),
-    ("canal_whatsapp", {"channel": "whatsapp"}, "canal_fora_dominio"),
-    ("rotulo_talvez", {"is_fraud": "talvez"}, "rotulo_invalido"),
-    ("cliente_zero", {"customer_id": "0"}, "cliente_fora_faixa"),
-    ("caixa_e_espacos", {"channel": " APP ", "merchant_category": "Viagem"}, "aceita app/viagem"),
-    ("valor_texto", {"amount": "abc"}, "ausente"),
+FAULTS = (
+    Fault("copia_exata", "duplicata_id;duplicata_conteudo", new_id=False, same_time=True),
+    Fault("conteudo_com_outro_id", "duplicata_conteudo", same_time=True),
+    Fault("valor_negativo", "valor_invalido", {"amount": "-150.00"}),
+    Fault("valor_zero", "valor_invalido", {"amount": "0"}),
+    Fault("risk_score_150", "risk_score_invalido", {"risk_score": "150"}),
+    Fault("credit_score_1000", "credit_score_invalido", {"credit_score": "1000"}),
+    Fault("fora_do_periodo", "timestamp_invalido", {"timestamp": "1970-06-10 10:00:00"}),
+    Fault("canal_whatsapp", "canal_fora_dominio", {"channel": "whatsapp"}),
+    Fault("rotulo_talvez", "rotulo_invalido", {"is_fraud": "talvez"}),
+    Fault("cliente_zero", "cliente_fora_faixa", {"customer_id": "0"}),
+    Fault(
+        "caixa_e_espacos",
+        "aceita app/viagem",
+        {"channel": " APP ", "merchant_category": "Viagem"},
+    ),
+    Fault("valor_texto", "ausente", {"amount": "abc"}),
 )
 # --- end of fixed values ----------------------------------------------------
 
+NEW_ID_OFFSET = 10**15
+
+
+def _by_fault(values: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("_falha") + 1).cast("int"))
+
 
-def _pick(values: list[Column]) -> Column:
-    return F.element_at(F.array(*values), (F.col("_falha") + 1).cast("int"))
+def _faults_with(test) -> Column:
+    return F.col("_falha").isin(*[i for i, f in enumerate(FAULTS) if test(f)])
 
 
-def _as_text(bronze: DataFrame) -> DataFrame:
+def as_text(bronze: DataFrame) -> DataFrame:
+    """Valid rows back in raw text form, each assigned a fault."""
     return bronze.select(
         F.col("transaction_id").alias("_origem"),
         F.pmod("transaction_id", F.lit(len(FAULTS))).alias("_falha"),
@@ -51,50 +70,50 @@ def _as_text(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _broken(text: DataFrame) -> DataFrame:
-    """The faulty copies. A per-row offset inside the hour keeps them from being
-    content duplicates of anything, except where that is the fault."""
-    changed = []
-    own_id = (F.col("_origem") + NEW_ID_OFFSET).cast("string")
-    moved = F.col("timestamp").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(F.pmod("_origem", F.lit(3_599_000_000)) + 1).cast("decimal(18,0)")
-        / F.lit(1_000_000).cast("decimal(18,0)")
-    )
-    for f in RAW_SCHEMA.fields:
-        per_fault = []
-        for name, change, _ in FAULTS:
-            value = F.lit(change[f.name]) if f.name in change else F.col(f.name)
-            if f.name == "transaction_id" and name != "copia_exata":
-                value = own_id
-            if f.name == "timestamp" and name not in ("copia_exata", "conteudo_com_outro_id"):
-                early = F.lit("1970-06-10 10:00:00").cast("timestamp_ntz")
-                value = (early if name == "fora_do_periodo" else moved).cast("string")
-            per_fault.append(value)
-        changed.append(_pick(per_fault).alias(f.name))
-    return text.select("_origem", "_falha", *changed)
-
-
-def rule_matrix(bronze: DataFrame, bounds: RuleBounds) -> DataFrame:
-    """Per fault: copies tested and copies with exactly the expected outcome."""
-    text = _as_text(bronze)
-    both = text.withColumn("_copia", F.lit(0)).unionByName(
-        _broken(text).withColumn("_copia", F.lit(1))
-    )
-    rows = typed_rows(both)
-    marks = duplicate_marks(
-        rows, COPY_ADDRESS, id_order=("timestamp",), content_order=CONTENT_ORDER[:1]
-    )
-    flagged = with_marks(rows.withColumn("_o", F.col("_origem")), marks, COPY_ADDRESS)
-    evaluated = evaluate(stage(flagged), quality_rules(bounds))
+def broken_copies(text: DataFrame) -> DataFrame:
+    """One faulty copy per row.
+
+    Copies get ids above all others, and a time offset of their own within the
+    hour so that they repeat no other content, except where repetition is the
+    fault.
+    """
+    offset = (F.pmod("_origem", F.lit(3_599_000_000)) + 1).cast("decimal(18,0)") / F.lit(
+        1_000_000
+    ).cast("decimal(18,0)")
+    moved = F.col("timestamp").cast("timestamp_ntz") + F.make_dt_interval(secs=offset)
+    base = {f.name: F.col(f.name) for f in RAW_SCHEMA.fields}
+    base["transaction_id"] = F.when(
+        _faults_with(lambda f: f.new_id), (F.col("_origem") + NEW_ID_OFFSET).cast("string")
+    ).otherwise(F.col("transaction_id"))
+    base["timestamp"] = F.when(
+        _faults_with(lambda f: not f.same_time), moved.cast("string")
+    ).otherwise(F.col("timestamp"))
+    for i, fault in enumerate(FAULTS):
+        for column, value in fault.change.items():
+            base[column] = F.when(F.col("_falha") == i, F.lit(value)).otherwise(base[column])
+    return text.select("_origem", "_falha", *[c.alias(n) for n, c in base.items()])
+
+
+def rule_matrix(lake: Lake, scratch: str) -> DataFrame:
+    """Per fault: copies tested and copies with exactly the expected outcome.
+
+    The doubled data goes through the ordinary load: parsing, the raw layer,
+    duplicate marks and rules.
+    """
+    text = as_text(lake.bronze)
+    trial = Lake(lake.spark, scratch, lake.bounds)
+    trial.load_raw(typed_rows(text.unionByName(broken_copies(text))).drop("_falha"))
+    trial.mark_duplicates()
+    evaluated = evaluate(trial.staged(), quality_rules(trial.bounds))
     accepted = F.concat_ws(" ", F.lit("aceita"), F.concat_ws("/", "channel", "merchant_category"))
-    copies = F.col("transaction_id") >= NEW_ID_OFFSET
-    outcome = F.when(F.col("motivo") == "", accepted).otherwise(F.col("motivo"))
-    obtained = evaluated.where(copies | F.col("repete_id")).select(
-        F.col("_o").alias("_origem"), outcome.alias("resultado")
+    obtained = evaluated.where(
+        (F.col("transaction_id") >= NEW_ID_OFFSET) | F.col("repete_id")
+    ).select(
+        "_origem", F.when(F.col("motivo") == "", accepted).otherwise(F.col("motivo")).alias("resultado")
     )
     expected = text.select(
         "_origem",
-        _pick([F.lit(n) for n, _, _ in FAULTS]).alias("falha"),
-        _pick([F.lit(e) for _, _, e in FAULTS]).alias("esperado"),
+        _by_fault([f.name for f in FAULTS]).alias("falha"),
+        _by_fault([f.outcome for f in FAULTS]).alias("esperado"),
     )
     return outcome_matrix(expected, obtained, "_origem")

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from risklake.config import GIVEN_TABLES_BOUNDS, MARTS, RuleBounds
+from risklake.config import CLEAN_COLUMNS, GIVEN_TABLES_BOUNDS, MARTS, RuleBounds
 from risklake.operators.dedup import duplicate_marks, with_marks
 from risklake.operators.enrich import silver
 from risklake.operators.metrics import all_marts, pick_mart
-from risklake.operators.quality import evaluate, quality_rules, split, stage
-from risklake.session import work_dir
+from risklake.operators.quality import evaluate, quality_rules, stage, with_flags
+from risklake.session import work_dir, written
 from risklake.sources.layers import (
     MONTHLY,
     read_addressed,
@@ -21,9 +23,17 @@ from risklake.sources.layers import (
     write_layer,
     write_small,
 )
+from risklake.sources.raw_files import land_copy, read_raw, reconcile
 from risklake.sources.transactions import raw_transactions, table
 
 
+# One pass writes valid and rejected rows side by side; the first is Bronze.
+BRONZE = "bronze/situacao=valida"
+
+# Duplicate marks are broadcast up to this many rows (some tens of megabytes).
+BROADCAST_MARKS = 200_000
+
+
 @dataclass
 class Lake:
     """Paths of one lakehouse and readers for its layers."""
@@ -49,11 +59,11 @@ class Lake:
 
     @property
     def bronze(self) -> DataFrame:
-        return self.layer("bronze/transactions")
+        return self.layer(BRONZE).drop("motivo")
 
     @property
     def quarantine(self) -> DataFrame:
-        return self.layer("bronze/quarentena")
+        return self.layer("quarentena")
 
     @property
     def silver(self) -> DataFrame:
@@ -72,7 +82,12 @@ class Lake:
     def marked(self) -> DataFrame:
         """Raw rows with their duplicate flags, from the written marks."""
         raw = read_addressed(self.spark, self.path("raw_particionada"))
-        return with_marks(raw, self.layer("work/duplicatas"))
+        return with_marks(raw, self.layer("work/duplicatas"), self.few_duplicates)
+
+    @cached_property
+    def few_duplicates(self) -> bool:
+        """Whether the written marks are few enough to broadcast (a footer count)."""
+        return self.layer("work/duplicatas").count() <= BROADCAST_MARKS
 
     def staged(self) -> DataFrame:
         return stage(self.marked())
@@ -83,16 +98,29 @@ class Lake:
         write_layer(with_month(raw), self.path("raw_particionada"), MONTHLY)
 
     def mark_duplicates(self) -> None:
-        """Written once, so Bronze, quarantine and rule counts share the result."""
-        raw = read_addressed(self.spark, self.path("raw_particionada"))
-        write_layer(duplicate_marks(raw), self.path("work/duplicatas"))
+        """Written once, so rule evaluation and rule counts share the result."""
+        addressed = read_addressed(self.spark, self.path("raw_particionada"))
+        marks = duplicate_marks(addressed, keys_only=self.raw)
+        write_layer(marks, self.path("work/duplicatas"))
 
     def refine(self) -> None:
-        """Two passes over raw, one per destination, instead of a cached copy."""
+        """Evaluate every raw row once and file it as valid or rejected.
+
+        With few duplicates rows stay in raw's file order, one month per file,
+        and no shuffle is needed; a merge by address scatters the months, so the
+        result is then rebalanced. Rejected rows, few per input file, are
+        gathered into well-sized quarantine files.
+        """
         evaluated = evaluate(self.staged(), quality_rules(self.bounds))
-        valid, rejected = split(evaluated)
-        write_layer(valid, self.path("bronze/transactions"), MONTHLY)
-        write_layer(rejected, self.path("bronze/quarentena"))
+        situation = F.when(F.col("motivo") == "", F.lit("valida")).otherwise(F.lit("rejeitada"))
+        write_layer(
+            with_flags(evaluated).withColumn("situacao", situation),
+            self.path("bronze"),
+            ("situacao", *MONTHLY),
+            spread=not self.few_duplicates,
+        )
+        rejected = self.layer("bronze").where(F.col("situacao") == "rejeitada")
+        write_layer(rejected.select(*CLEAN_COLUMNS, "motivo"), self.path("quarentena"))
 
     def build_silver(self) -> None:
         """Row-wise from Bronze; its files are already one month each."""
@@ -115,6 +143,19 @@ class Lake:
         self.build_gold()
         return self
 
+    def build_from_csv(self, csv: str) -> DataFrame:
+        """Land raw files, prove the copy, keep the rejects, build every layer.
+
+        Returns the proof: line counts on both sides and whether they match.
+        """
+        landing = self.path("raw/transactions")
+        land_copy(self.spark, csv, landing)
+        proof = written(reconcile(self.spark, csv, landing), "landing")
+        good, rejects = read_raw(self.spark, landing)
+        write_layer(rejects, self.path("raw/rejeitadas"))
+        self.build(good)
+        return proof
+
 
 _BUILT: dict[tuple[str, str], Lake] = {}
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from risklake.functions.numeric import cents, from_cents
 from risklake.operators.enrich import silver
 from risklake.operators.labels import apply_late_labels
-from risklake.plans.lakehouse import Lake
+from risklake.plans.lakehouse import BRONZE, Lake
 from risklake.sources import incremental as inc
 from risklake.sources import raw_files
 from risklake.sources.layers import (
@@ -180,8 +180,8 @@ def compacted(lake: Lake) -> DataFrame:
 
 LAYER_FOLDERS = {
     "raw_particionada": "raw_particionada",
-    "bronze": "bronze/transactions",
-    "quarentena": "bronze/quarentena",
+    "bronze": BRONZE,
+    "quarentena": "quarentena",
     "silver": "silver/transactions",
     "gold": "gold",
 }

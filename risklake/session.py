@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_TABLE = itertools.count(1)
 
 
 def build_session(master: str | None = None, app: str = "risklake", **conf) -> SparkSession:
@@ -22,6 +24,8 @@ def build_session(master: str | None = None, app: str = "risklake", **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # Larger generated methods are never JIT-compiled; plain evaluation is faster.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
         **{k.replace("__", "."): str(v) for k, v in conf.items()},
     }
@@ -46,3 +50,14 @@ def work_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _LOCAL_FALLBACK.setdefault(app, tempfile.mkdtemp(prefix="risklake-"))
     return f"{base.rstrip('/')}/risklake/{app}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a table in the work folder.
+
+    Used where a result feeds several branches that must agree: it is computed
+    once, survives lost executors, and its readers see one fixed version.
+    """
+    path = f"{work_dir(df.sparkSession)}/tabelas/{name}-{next(_TABLE)}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
