@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risklake.functions.numeric import percent, ratio, round_half
+from risklake.session import written
 
 
 def rolling_rate(daily: DataFrame, series: Sequence[str] = (), days: int = 7) -> DataFrame:
@@ -47,12 +48,17 @@ def month_over_month(cube: DataFrame) -> DataFrame:
 def weeks_above(silver: DataFrame, dims: Sequence[str], weeks: int = 3) -> DataFrame:
     """Runs of consecutive weeks in which a combination exceeds the overall rate.
 
-    Weekly counts come from one combined aggregation; the runs are then found
-    per combination, over as many rows as there are weeks.
+    Weekly counts are aggregated once and written, since both the overall rate
+    and the runs read them; the runs are found per combination, over as many
+    rows as there are weeks.
     """
-    weekly = silver.groupBy(
-        *dims, F.date_trunc("week", "data").cast("date").alias("semana")
-    ).agg(F.count("*").alias("n"), F.count_if("is_fraud").alias("f"))
+    week = F.date_trunc("week", "data").cast("date").alias("semana")
+    weekly = written(
+        silver.groupBy(*dims, week).agg(
+            F.count("*").alias("n"), F.count_if("is_fraud").alias("f")
+        ),
+        "semanas",
+    )
     overall = weekly.agg(ratio(F.sum("f"), F.sum("n")).alias("t")).scalar()
     above = weekly.where(ratio(F.col("f"), F.col("n")) > overall)
     position = F.row_number().over(Window.partitionBy(*dims).orderBy("semana"))

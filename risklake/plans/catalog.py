@@ -119,7 +119,10 @@ def stored_schema(df: DataFrame):
 
 
 def _events(lake: Lake) -> DataFrame:
-    return jobs.read_events(jobs.stream_session(lake.spark), lake.source, "events.parquet")
+    """The given events as a stream. Written as a pattern, the path may name a
+    single file (a plain stream path must be a folder) or a folder of files."""
+    path = f"{lake.source}/events.parque[t]"
+    return jobs.read_events(jobs.stream_session(lake.spark), path)
 
 
 def _stream_land(lake: Lake) -> DataFrame:

@@ -102,6 +102,7 @@ class Lake:
         addressed = read_addressed(self.spark, self.path("raw_particionada"))
         marks = duplicate_marks(addressed, keys_only=self.raw)
         write_layer(marks, self.path("work/duplicatas"))
+        self.__dict__.pop("few_duplicates", None)
 
     def refine(self) -> None:
         """Evaluate every raw row once and file it as valid or rejected.

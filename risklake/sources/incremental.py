@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 
 def high_water_mark(target: DataFrame, ts: str):
-    """Latest loaded instant; a single value, read to let the source prune."""
+    """Latest loaded instant; a single value, read to let the source prune.
+
+    With year/month partitions the latest one is found from partition values
+    alone and only its files are opened.
+    """
+    if {"year", "month"} <= set(target.columns):
+        last = target.agg(F.max(F.struct("year", "month"))).first()[0]
+        if last is None:
+            return None
+        target = target.where((F.col("year") == last[0]) & (F.col("month") == last[1]))
     return target.agg(F.max(ts)).first()[0]
 
 

@@ -22,24 +22,29 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def header_line(schema: T.StructType = RAW_SCHEMA) -> str:
+    return ",".join(schema.names)
+
+
 def read_as_text(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Every declared column as text, plus the whole line when its shape is wrong.
 
-    Column pruning is off for this scan: with pruning, a query that skips the
-    offending column would no longer notice a malformed line.
+    Lines are read as text and parsed one by one. Header lines are recognised by
+    content, wherever they stand: a landing copy splits large files, so most of
+    its parts carry no header and "skip the first line" would lose data. Nor can
+    column pruning hide a malformed line from a query that skips its columns.
     """
     text = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields]
+        [T.StructField(n, T.StringType()) for n in schema.names]
         + [T.StructField(BAD_LINE, T.StringType())]
     )
-    return (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-        .option("columnPruning", False)
-        .csv(path)
+    parsed = F.from_csv(
+        "value",
+        ", ".join(f"`{f.name}` string" for f in text.fields),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE},
     )
+    lines = spark.read.text(path).where(~F.col("value").isin("", header_line(schema)))
+    return lines.select(parsed.alias("_r")).select("_r.*")
 
 
 def _failed(field: T.StructField):
@@ -110,7 +115,7 @@ def reconcile(
     spark: SparkSession, src: str, dst: str, schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
     """One row: data lines on both sides and whether the contents are equal."""
-    header = ",".join(f.name for f in schema.fields)
+    header = header_line(schema)
     a = _fingerprint(spark.read.text(src), header).select(
         F.lit(1).alias("k"), F.struct("*").alias("origem")
     )

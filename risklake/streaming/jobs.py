@@ -47,14 +47,10 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def read_events(spark: SparkSession, folder: str, glob: str = "events*") -> DataFrame:
+def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Events with a zoned event time, which watermarks require."""
-    return (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("pathGlobFilter", glob)
-        .parquet(folder)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    )
+    events = spark.readStream.schema(EVENT_SCHEMA).parquet(path)
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def run(

@@ -8,7 +8,7 @@ import pytest
 from risklake.config import RAW_SCHEMA, RuleBounds
 from risklake.operators.quality import quality_rules
 from risklake.plans.lakehouse import Lake
-from risklake.sources.raw_files import file_signatures, read_raw, reconcile
+from risklake.sources.raw_files import file_signatures, land_copy, read_raw, reconcile
 
 COLUMNS = RAW_SCHEMA.names
 
@@ -150,5 +150,20 @@ def test_reconcile_notices_changes(spark, tmp_path):
     assert len(signatures) == 1 and len(signatures[0]) == 32
 
 
+def test_split_files_lose_no_line(spark, tmp_path):
+    """Large files land in several parts, of which only the first has the header."""
+    rows = clean_rows(120)
+    write_csv(tmp_path / "a.csv", rows)
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    dst = str(tmp_path / "landing")
+    land_copy(session, str(tmp_path / "a.csv"), dst)
+    assert len(session.read.text(dst).inputFiles()) > 3
+    assert reconcile(session, str(tmp_path / "a.csv"), dst).first().integro
+    kept, rejects = read_raw(session, dst)
+    assert kept.count() == 120 and rejects.count() == 0
+
+
 def test_rule_order_and_count():
     assert len(quality_rules(RuleBounds())) == 14

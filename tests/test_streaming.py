@@ -28,7 +28,7 @@ def feed(spark, tmp_path):
 
 def drain(spark, folder, tmp_path, build):
     out, progress = str(tmp_path / "saida"), str(tmp_path / "progresso")
-    stream = jobs.read_events(jobs.stream_session(spark), folder, "*")
+    stream = jobs.read_events(jobs.stream_session(spark), folder)
     jobs.run(build(stream), out, progress).awaitTermination()
     return spark.read.parquet(out)
 
