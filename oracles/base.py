@@ -89,7 +89,7 @@ stg AS MATERIALIZED (SELECT transaction_id, customer_id, {rnd('amount', 2)} AS a
        WHEN 'false' THEN FALSE WHEN '0' THEN FALSE END AS is_fraud, repete_id, repete_conteudo
   FROM marked)"""
 
-# Rule order is part of the reason text.
+# Rule names, domains and limits; the order is part of the reason text.
 RULES = {
     "id_nulo": "transaction_id IS NULL OR customer_id IS NULL",
     "duplicata_id": "repete_id",

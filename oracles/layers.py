@@ -85,6 +85,7 @@ _BY_MONTH = f"""SELECT year, month, COUNT(*) AS transacoes, COUNT(*) FILTER (WHE
 _CUSTOMERS = """clientes AS (SELECT c_custkey AS customer_id, c_nationkey AS nacao, c_mktsegment AS mercado
   FROM customer WHERE c_acctbal >= 0)"""
 
+# Planted faults and their outcomes.
 _FAULTS = """(VALUES (0, 'copia_exata', 'duplicata_id;duplicata_conteudo'),
   (1, 'conteudo_com_outro_id', 'duplicata_conteudo'), (2, 'valor_negativo', 'valor_invalido'),
   (3, 'valor_zero', 'valor_invalido'), (4, 'risk_score_150', 'risk_score_invalido'),

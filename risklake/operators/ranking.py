@@ -17,6 +17,8 @@ from risklake.session import written
 
 SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
 BUCKETS = 256
+# Above this many rows each bucket is cut into 256 again.
+ONE_LEVEL_ROWS = 1 << 26
 
 
 def _bucket(bounds: str, value: Column) -> Column:
@@ -29,54 +31,65 @@ def _bucket(bounds: str, value: Column) -> Column:
     )
 
 
+def _bucketed(
+    df: DataFrame, series: Sequence[str], order: str, levels: int
+) -> tuple[DataFrame, list[str]]:
+    """Add one bucket column per level; later levels split the buckets before them.
+
+    Bounds are written before use, so that every reader cuts at the same values.
+    They are broadcast: one row per series, and per bucket of the level above.
+    """
+    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
+    names = [f"_bucket{level}" for level in range(levels)]
+    for level, name in enumerate(names):
+        keys = [*series, *names[:level]]
+        quantiles = F.percentile_approx(order, probabilities, 10 * BUCKETS)
+        bounds = written(df.groupBy(*keys).agg(quantiles.alias("_bounds")), "limites")
+        df = df.join(F.broadcast(bounds), keys).select(
+            *df.columns, _bucket("_bounds", F.col(order)).alias(name)
+        )
+    return df, names
+
+
 def running_total(
     df: DataFrame,
     series: Sequence[str],
     order: str,
     values: Sequence[str],
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<value>``: inclusive sums in ascending ``order`` per series.
 
-    ``order`` must be numeric and unique within a series (aggregate ties first).
-    Input and bounds are written tables: both branches below must see the same
-    buckets. The broadcast sides hold one row per series and one per bucket:
-    callers keep series few (a variable, a month, a cut), never a row-level key.
+    ``order`` must be numeric and unique within a series (aggregate ties first),
+    and series few (a variable, a month, a cut), never a row-level key. The
+    input is written once. Bucket totals join on the keys the rows are already
+    partitioned by, so only they move.
     """
     df = written(df, "ordem")
-    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
-    bounds = written(
-        df.groupBy(*series).agg(
-            F.percentile_approx(order, probabilities, 100 * BUCKETS).alias("_bounds")
-        ),
-        "limites",
-    )
-    bucketed = df.join(F.broadcast(bounds), list(series)).select(
-        *df.columns,
-        _bucket("_bounds", F.col(order)).alias("_bucket"),
-    )
-    before = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(
+    if levels is None:
+        levels = 1 if df.count() <= ONE_LEVEL_ROWS else 2
+    bucketed, buckets = _bucketed(df, series, order, levels)
+    keys = [*series, *buckets]
+    before = Window.partitionBy(*series).orderBy(*buckets).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        bucketed.groupBy(*series, "_bucket")
+        bucketed.groupBy(*keys)
         .agg(*[F.sum(v).alias(f"_in_{v}") for v in values])
         .select(
-            *series,
-            "_bucket",
+            *keys,
             *[
                 F.coalesce(F.sum(f"_in_{v}").over(before), F.lit(0)).alias(f"_before_{v}")
                 for v in values
             ],
         )
     )
-    inside = Window.partitionBy(*series, "_bucket").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         bucketed.select(
-            *df.columns, "_bucket", *[F.sum(v).over(inside).alias(f"_cum_{v}") for v in values]
+            *df.columns, *buckets, *[F.sum(v).over(inside).alias(f"_cum_{v}") for v in values]
         )
-        .join(F.broadcast(offsets), [*series, "_bucket"])
+        .join(offsets, keys)
         .select(
             *df.columns,
             *[(F.col(f"_before_{v}") + F.col(f"_cum_{v}")).alias(f"cum_{v}") for v in values],

@@ -36,26 +36,30 @@ def clean_rows(n=40):
     ]
 
 
-def dirty_rows(clean):
-    base = clean[0]
+# --- fixed values: what is broken in each injected row, and its outcome ---
+# None: accepted after clean-up. Scores differ so that no injected row repeats another.
+INJECTED = (
+    (900003, {"amount": "-150.00", "risk_score": "41.25"}, "valor_invalido"),
+    (900004, {"amount": "0", "risk_score": "42.25"}, "valor_invalido"),
+    (900005, {"risk_score": "150"}, "risk_score_invalido"),
+    (900006, {"credit_score": "1000", "risk_score": "43.25"}, "credit_score_invalido"),
+    (900007, {"timestamp": "2024-06-10 10:00:00", "risk_score": "44.25"}, "timestamp_invalido"),
+    (900008, {"channel": "whatsapp", "risk_score": "45.25"}, "canal_fora_dominio"),
+    (900009, {"is_fraud": "talvez", "risk_score": "46.25"}, "rotulo_invalido"),
+    (900010, {"customer_id": "0", "risk_score": "47.25"}, "cliente_fora_faixa"),
+    (900011, {"channel": " APP ", "merchant_category": "Viagem", "risk_score": "48.25"}, None),
+    (900012, {"amount": "abc", "risk_score": "49.25"}, "reject"),
+)
+# --- end of fixed values ---
 
-    def new(tid, **change):
-        return {**base, "transaction_id": tid, "risk_score": f"{tid % 97}.5", **change}
 
-    same_content = {**clean[20], "transaction_id": 900002}
-    return [
-        (dict(clean[10]), "duplicata_id;duplicata_conteudo"),
-        (same_content, "duplicata_conteudo"),
-        (new(900003, amount="-150.00"), "valor_invalido"),
-        (new(900004, amount="0"), "valor_invalido"),
-        (new(900005, risk_score="150"), "risk_score_invalido"),
-        (new(900006, credit_score="1000"), "credit_score_invalido"),
-        (new(900007, timestamp="2024-06-10 10:00:00"), "timestamp_invalido"),
-        (new(900008, channel="whatsapp"), "canal_fora_dominio"),
-        (new(900009, is_fraud="talvez"), "rotulo_invalido"),
-        (new(900010, customer_id="0"), "cliente_fora_faixa"),
-        (new(900011, channel=" APP ", merchant_category="Viagem"), None),
-        (new(900012, amount="abc"), "reject"),
+def dirty_rows(clean):
+    copies = [
+        (clean[10] | {}, "duplicata_id;duplicata_conteudo"),
+        (clean[20] | {"transaction_id": 900002}, "duplicata_conteudo"),
+    ]
+    return copies + [
+        (clean[0] | {"transaction_id": id_} | broken, outcome) for id_, broken, outcome in INJECTED
     ]
 
 

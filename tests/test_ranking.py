@@ -17,12 +17,13 @@ from risklake.operators.ranking import (
 )
 
 
-def test_running_total_over_many_buckets(spark):
+@pytest.mark.parametrize("levels", [1, 2])
+def test_running_total_over_many_buckets(spark, levels):
     values = {"a": list(range(700)), "b": [5, 1, 9]}
     data = [(s, float(x), x % 4) for s, xs in values.items() for x in xs]
     random.Random(1).shuffle(data)
     df = spark.createDataFrame(data, "s string, o double, v int")
-    got = {(r.s, r.o): r.cum_v for r in running_total(df, ["s"], "o", ["v"]).collect()}
+    got = {(r.s, r.o): r.cum_v for r in running_total(df, ["s"], "o", ["v"], levels).collect()}
     assert len(got) == len(data)
     for s, xs in values.items():
         total = 0
