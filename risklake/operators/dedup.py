@@ -103,6 +103,7 @@ def duplicate_marks(
     candidates = written(
         suspects.select(*columns, *flagged).where(" OR ".join(f"_em_{n}" for n in names)),
         "candidatos",
+        gather=True,
     )
     failed = [
         _all_but_first(candidates.where(F.col(f"_em_{n}")), checks[n], address).select(

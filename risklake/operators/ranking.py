@@ -65,7 +65,7 @@ def running_total(
     input is written once. Bucket totals join on the keys the rows are already
     partitioned by, so only they move.
     """
-    df = written(df, "ordem")
+    df = written(df, "ordem", gather=True)
     if levels is None:
         levels = 1 if df.count() <= ONE_LEVEL_ROWS else 2
     bucketed, buckets = _bucketed(df, series, order, levels)

@@ -42,7 +42,7 @@ def against_overall(rate: Column, overall: Column) -> Column:
 
 
 def base_cube(cube: DataFrame) -> DataFrame:
-    """The cube as the panels embed it: year folded away is not, rows stay per cell."""
+    """The cube's cells and measures, the data set every filtered panel starts from."""
     return cube.select("year", *CUBE_DIMENSIONS, *MEASURES)
 
 

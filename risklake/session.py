@@ -52,12 +52,13 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/risklake/{app}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, gather: bool = False) -> DataFrame:
     """The same rows as a table in the work folder.
 
     Used where a result feeds several branches that must agree: it is computed
     once, survives lost executors, and its readers see one fixed version.
+    ``gather`` rebalances first, for few rows filtered out of many input files.
     """
     path = f"{work_dir(df.sparkSession)}/tabelas/{name}-{next(_TABLE)}"
-    df.write.mode("overwrite").parquet(path)
+    (df.hint("rebalance") if gather else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
