@@ -5,6 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from risklake.plans import model
+from risklake.plans.catalog import CATALOG
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +61,31 @@ def test_every_row_is_scored(lake):
     scored = model.scored_silver(lake)
     assert scored.count() == lake.silver.count()
     assert scored.where("p_fraude < 0 OR p_fraude > 1 OR p_fraude IS NULL").count() == 0
+
+
+def test_stream_scores_equal_batch_scores(lake):
+    streamed, batch = CATALOG["stream_score"](lake), model.scored_silver(lake)
+    assert streamed.count() == batch.count()
+    both = streamed.withColumnRenamed("p_fraude", "s").join(batch, "transaction_id")
+    assert both.where(F.abs(F.col("s") - F.col("p_fraude")) < 1e-12).count() == batch.count()
+
+
+def test_interaction_adds_one_coefficient(medium_lake):
+    names = [r.variavel for r in CATALOG["ml_interaction"](medium_lake).collect()]
+    assert names == [*model.FEATURES, "app_x_viagem", "intercepto"]
+
+
+def test_cross_validation_agrees_with_the_held_out_area(medium_lake):
+    r = CATALOG["ml_cv"](medium_lake).first()
+    assert r.dobras == 3
+    assert r.auc_media == pytest.approx(0.768, abs=0.02)
+    assert 0 <= r.auc_desvio < 0.03
+
+
+def test_model_capture_matches_a_full_sort(medium_lake):
+    rows = model.scored_test(medium_lake).collect()
+    ranked = sorted(rows, key=lambda r: (-r.p_fraude, r.transaction_id))
+    for r in CATALOG["capture_top_model"](medium_lake).collect():
+        k = round(len(rows) * r.fatia)
+        assert r.transacoes_revisadas == k
+        assert r.fraudes == sum(x.is_fraud for x in ranked[:k])
