@@ -85,7 +85,7 @@ def _pair(state: Column, x: Column, seed: int) -> Column:
 
     def item(of: Column, p: Column) -> Column:
         return F.struct(
-            of["h"].alias("h"), of["doc_id"].alias("doc_id"), of["w"].alias("w"),
+            of["w"].alias("w"), of["h"].alias("h"), of["doc_id"].alias("doc_id"),
             F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)).alias("p"),
         )
 
@@ -106,8 +106,11 @@ def _pair(state: Column, x: Column, seed: int) -> Column:
 
 
 def _blocks(items: DataFrame, seed: int, name: str) -> DataFrame:
-    """Per (source, block): the item left over and those rounded up."""
-    one = F.sort_array(F.collect_list(F.struct("h", "doc_id", "w", "p")))
+    """Per (source, block): the item left over and those rounded up.
+
+    Large items come first: what is left over is then a small one as a rule.
+    """
+    one = F.sort_array(F.collect_list(F.struct("w", "h", "doc_id", "p")), asc=False)
     grouped = items.groupBy("source", "block").agg(one.alias("all"))
     none = F.array().cast("array<struct<doc_id:bigint,w:double>>")
     folded = F.aggregate(

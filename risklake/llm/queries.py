@@ -1,8 +1,10 @@
 """The queries of this subpackage and the SQL that checks them."""
 
+from risklake.llm.bpe import op7_bpe
 from risklake.llm.mixing import op8_mix_sources
 
 QUERIES = {
+    "op7_bpe": op7_bpe,
     "op8_mix_sources": op8_mix_sources,
 }
 
