@@ -17,6 +17,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from risklake.llm.words import by_arrow, chunks
 
@@ -256,7 +257,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
     others = [c for c in docs.columns if c not in (text, ids)]
     given = docs.select(*others, F.col(text).alias(ids))
-    schema = docs.select(*others).schema.add(ids, "array<int>")
+    schema = docs.select(*others).schema.add(ids, T.ArrayType(T.IntegerType()))
     target = pa.list_(pa.int32())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +279,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with the text of its token ids in a further column (NULL ids: empty)."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
-    schema = docs.schema.add(text, "string")
+    schema = docs.select("*").schema.add(text, "string")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,10 +2,16 @@
 
 from risklake.llm.bpe import op7_bpe
 from risklake.llm.mixing import op8_mix_sources
+from risklake.llm.substring import OP6_SQL, op6_substring_dedup
+from risklake.llm.urls import op5_url_filter
 
 QUERIES = {
+    "op5_url_filter": op5_url_filter,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe": op7_bpe,
     "op8_mix_sources": op8_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_substring_dedup": OP6_SQL,
+}
