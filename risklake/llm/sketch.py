@@ -84,6 +84,19 @@ def merged(parts: DataFrame, width: int, depth: int = 1, kind: str = "uint8") ->
     return out
 
 
+def marks(rows: DataFrame, column: str, width: int, depth: int = 1) -> Sketch:
+    """A sketch of the values of a column of longs: which may be there."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Sketch(width, depth)
+        for batch in batches:
+            found.add(batch.column(0).to_numpy().view(np.uint64))
+        for k, cells in found.blocks():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([cells], pa.binary())], names=["block", "cells"])
+
+    return merged(rows.select(column).mapInArrow(task, "block int, cells binary"), width, depth)
+
+
 def only(parts: DataFrame, block: bool) -> DataFrame:
     """Of a table that holds both, the rows with sketch blocks or the others."""
     return parts.filter(F.col("block").isNotNull() if block else F.col("block").isNull())

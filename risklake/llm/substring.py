@@ -5,8 +5,9 @@ A window is 50 consecutive words. Its anchor is the smallest hash among the
 anchors, and neighbouring windows mostly share one, so about one anchor stands for
 13 windows. Tasks count anchors, once in a document, in sketches of fixed size;
 the merged count of a window's anchor is never below the number of documents with
-that window. The second pass emits each window with an estimate of two or more
-and groups them by 128 bits of hash: the first document of a group keeps it.
+that window. The second pass groups what is estimated in two documents or more
+exactly: first the anchors, then the windows that hold a repeated anchor, by 128
+bits of hash. The first document of a group of windows keeps it.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.llm.scratch import dropped, kept
-from risklake.llm.sketch import Sketch, merged, only
+from risklake.llm.sketch import Sketch, marks, merged, only
 from risklake.llm.words import Texts, by_arrow, mixed, text_chunks, window_sums
 
 WINDOW = 50
 WIDTH, DEPTH = 1 << 24, 2
+#: Bound of each of two rows of marks for repeated anchors; beyond it marks tell less apart.
+MOST_CELLS = 1 << 25
 RESULTS = ("n_words", "n_removed", "kept")
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -102,30 +105,55 @@ def _surveyed(docs: DataFrame, window: int, width: int, depth: int) -> DataFrame
     return by_arrow(docs, task, "doc long, tag int, n_words long, digest binary, block int, cells binary")
 
 
-def _suspects(docs: DataFrame, sketch: Sketch, window: int) -> DataFrame:
-    """Windows whose anchor is estimated in two documents: hash, document, text and place."""
+def _anchors(docs: DataFrame, sketch: Sketch, window: int) -> DataFrame:
+    """Anchors estimated in two documents or more: (anchor, doc)."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words in _long_documents(batches, window):
+            rows = []
+            for doc, _, hashes in words:
+                found = np.unique(anchors(hashes, window))
+                found = found[shared.value.estimate(found) >= 2]
+                rows.append((found.view(np.int64), np.full(len(found), doc)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([np.concatenate(c) for c in zip(*rows, strict=True)], names=["anchor", "doc"])
+
+    return by_arrow(docs, task, "anchor long, doc long")
+
+
+def _suspects(docs: DataFrame, repeated: Sketch, window: int) -> DataFrame:
+    """Windows that may hold a repeated anchor: hash, document, text and place."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = shared.value, {}
-        for part, texts in text_chunks(batches, "text"):
-            tags = part.column("tag").to_pylist()
-            for i, doc in enumerate(part.column("doc").to_pylist()):
-                words = texts.of(i)
-                if doc is None or len(words) < window:
-                    continue
-                if not _first_of_its_text(seen, xxhash.xxh3_64_intdigest(words.tobytes()), doc):
-                    continue
-                at = np.flatnonzero(sketch.estimate(anchors(words, window)) >= 2)
-                if len(at):
-                    h1, h2 = (mixed(window_sums(words, window, b))[at].view(np.int64) for b in _BASES)
-                    place = at + (tags[i] << 32)
-                    yield pa.RecordBatch.from_arrays([h1, h2, np.full(len(at), doc), place], schema=schema)
+        for part, words in _long_documents(batches, window):
+            rows = []
+            for doc, tag, hashes in words:
+                at = np.flatnonzero(shared.value.estimate(anchors(hashes, window)))
+                h1, h2 = (mixed(window_sums(hashes, window, b))[at].view(np.int64) for b in _BASES)
+                rows.append((h1, h2, np.full(len(at), doc), at + (tag << 32)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([np.concatenate(c) for c in zip(*rows, strict=True)], schema=schema)
 
     return by_arrow(docs, task, "h1 long, h2 long, doc long, place long")
 
 
+def _long_documents(batches: Iterator[pa.RecordBatch], window: int):
+    """Of each chunk the documents with a window: id, tag, word hashes. Copies met before in the task are left out."""
+    seen: dict[int, int] = {}
+    for part, texts in text_chunks(batches, "text"):
+        found = []
+        for i, (doc, tag) in enumerate(zip(part.column("doc").to_pylist(), part.column("tag").to_pylist(), strict=True)):
+            words = texts.of(i)
+            if doc is None or len(words) < window:
+                continue
+            if _first_of_its_text(seen, xxhash.xxh3_64_intdigest(words.tobytes()), doc):
+                found.append((doc, tag, words))
+        yield part, found
+
+
 def repeated_windows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     window: int = WINDOW, width: int = WIDTH, depth: int = DEPTH,
@@ -138,7 +166,13 @@ def repeated_windows(
     rows = _documents(docs, doc_id, text)
     survey = kept(_surveyed(rows, window, width, depth), "survey")
     sketch = merged(only(survey, True), width, depth)
-    suspects = kept(_suspects(rows, sketch, window), "suspects")
+    shared = kept(
+        _anchors(rows, sketch, window).groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+        .filter("lo < hi").select("anchor"),
+        "anchors",
+    )
+    cells = min(max(1 << (8 * shared.count()).bit_length(), 1 << 20), MOST_CELLS)
+    suspects = kept(_suspects(rows, marks(shared, "anchor", cells, 2), window), "suspects")
     first = suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     again = suspects.join(first.filter("first < last").drop("last"), ["h1", "h2"]).filter("doc > first")
     cut = again.groupBy("doc", F.shiftright("place", 32).cast("int").alias("tag")).agg(
@@ -150,7 +184,7 @@ def repeated_windows(
     both = cut.unionByName(copies).groupBy("doc", "tag")
     whole = F.max(F.col("cut").isNull())
     out = kept(both.agg(F.when(~whole, F.first("cut", ignorenulls=True)).alias("cut")), "cuts")
-    dropped(suspects, survey)
+    dropped(suspects, shared, survey)
     return out
 
 
@@ -217,7 +251,8 @@ def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS words
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS words
   FROM documents
 ),
 starts AS (

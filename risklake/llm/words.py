@@ -22,6 +22,8 @@ _M = 0x9E3779B97F4A7C15
 _BYTE_CODES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Everything but letters, digits and the bytes of other alphabets parts plain words.
+NOT_PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -82,15 +84,16 @@ class Texts:
     ``starts`` and ``ends`` are byte positions in ``data``, the texts joined by a space.
     """
 
-    def __init__(self, texts: list[bytes]):
-        self.data = b" ".join(texts)
+    def __init__(self, texts: list[bytes], blank: np.ndarray = _BLANK):
+        self.data = b" ".join(texts) + b" "
         flat = np.frombuffer(self.data, np.uint8)
         inside = np.zeros(len(flat) + 2, np.int8)
-        inside[1:-1] = ~_BLANK[flat]
+        inside[1:-1] = ~blank[flat]
         edges = np.diff(inside)
         self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
+        self.text_ends = offsets[1:]
         self.first = np.searchsorted(self.starts, offsets)
         up, down = powers(len(flat))
         sums = prefix_sums(_BYTE_CODES[flat] * up[: len(flat)])
@@ -117,7 +120,7 @@ def chunks(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
 
 
 def text_chunks(
-    batches: Iterator[pa.RecordBatch], column: str, lower: bool = False
+    batches: Iterator[pa.RecordBatch], column: str, lower: bool = False, blank: np.ndarray = _BLANK
 ) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Slices of the batches with the words of their binary text column (NULL: none)."""
     for batch in batches:
@@ -125,4 +128,4 @@ def text_chunks(
         if lower:
             texts = [t.lower() for t in texts]
         for a, b in chunks(map(len, texts)):
-            yield batch.slice(a, b - a), Texts(texts[a:b])
+            yield batch.slice(a, b - a), Texts(texts[a:b], blank)
