@@ -72,13 +72,13 @@ def cuts(sketch: Sketch, fragments: int) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return docs.select("doc", "tag", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
 
 def _surveyed(docs: DataFrame, n: int, width: int) -> DataFrame:
     """Per document the name and size of its set; per task the blocks of its n-gram counts."""
     schema = pa.schema(
-        [("doc", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("block", pa.int32()), ("cells", pa.binary())]
+        [("doc", pa.int64()), ("tag", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("block", pa.int32()), ("cells", pa.binary())]
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,16 +96,16 @@ def _surveyed(docs: DataFrame, n: int, width: int) -> DataFrame:
                 sketch.add(np.concatenate(found))
             none = pa.nulls(len(part))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                [part.column("doc"), part.column("tag"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                  none.cast(pa.int32()), none.cast(pa.binary())], schema=schema,
             )
         for k, cells in sketch.blocks():
             yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(1, f.type) for f in list(schema)[:3]), pa.array([k], pa.int32()), pa.array([cells], pa.binary())],
+                [*(pa.nulls(1, f.type) for f in list(schema)[:4]), pa.array([k], pa.int32()), pa.array([cells], pa.binary())],
                 schema=schema,
             )
 
-    return by_arrow(_texts(docs), task, "doc long, node long, size long, block int, cells binary")
+    return by_arrow(_texts(docs), task, "doc long, tag long, node long, size long, block int, cells binary")
 
 
 def _prefixes(docs: DataFrame, n: int, share: Fraction, sketch: Sketch) -> DataFrame:
@@ -166,13 +166,13 @@ def _segments(docs: DataFrame, n: int, sketch: Sketch, wanted: Sketch, fragments
 
 
 class JaccardJoin:
-    """The join over one table (doc, text); ``share`` is the least similarity."""
+    """The join over one table (doc, tag, text); ``share`` is the least similarity."""
 
     def __init__(self, docs: DataFrame, n: int, share: Fraction, width: int = WIDTH, fragments: int = FRAGMENTS):
         self.docs, self.n, self.share, self.fragments = docs, n, share, fragments
         survey = kept(_surveyed(docs, n, width), "shingle-survey")
         self.sketch = merged(only(survey, True), width, 1, "uint32")
-        self.members = kept(only(survey, False).select("doc", "node", "size"), "shingle-members")
+        self.members = kept(only(survey, False).drop("block", "cells"), "shingle-members")
         dropped(survey)
         rows = kept(_prefixes(docs, n, share, self.sketch), "prefixes")
         often = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
@@ -273,6 +273,17 @@ class JaccardJoin:
         return labels
 
 
+def _grouped(docs: DataFrame, n: int, share: Fraction, doc_id: str, text: str) -> DataFrame:
+    """Per row: doc, tag of its text, size of its set and its component, NULL without shingles."""
+    given = docs.select(
+        F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), F.col(text).alias("text")
+    )
+    join = JaccardJoin(given, n, share)
+    return join.members.join(join.labels(), "node", "left").withColumn(
+        "component", F.when(F.col("size") > 0, F.coalesce("component", "node"))
+    )
+
+
 def similar_groups(
     docs: DataFrame, n: int = 5, share: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -281,23 +292,42 @@ def similar_groups(
     Two documents link when their sets of distinct n-word shingles (A-Z lower-cased)
     have a Jaccard similarity of ``share`` or more. A text with fewer words is one
     shingle. Empty and NULL texts have none and link with nothing. Every row has a
-    result: rows that share an id are rows of their own, a NULL id is never the
-    name of a component that has another, and no component has a NULL name unless
-    all its ids are NULL.
+    result: rows that share an id are rows of their own, and a component's name is
+    NULL only if all its ids are. An empty table has an empty result; columns other
+    than id and text are ignored.
     """
-    given = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    join = JaccardJoin(given, n, share)
-    labels = join.labels()
-    named = join.members.join(labels, "node", "left").withColumn(
-        "component", F.when(F.col("size") > 0, F.coalesce("component", "node"))
-    )
-    least = named.filter("size > 0").groupBy("component").agg(F.min("doc").alias("component_id"))
-    return named.join(least, "component", "left").select(
+    rows = _grouped(docs, n, share, doc_id, text)
+    least = rows.filter("size > 0").groupBy("component").agg(F.min("doc").alias("component_id"))
+    return rows.join(least, "component", "left").select(
         F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
     )
 
 
+def one_of_each(
+    docs: DataFrame, n: int = 5, share: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of every component: the one with the smallest id, NULL ids last.
+
+    Rows without shingles all stay. Of equal rows one stays.
+    """
+    rows = _grouped(docs, n, share, doc_id, text)
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "tag")
+    chosen = rows.filter("size > 0").groupBy("component").agg(F.min(order).alias("o")).select("o.doc", "o.tag")
+    times = rows.filter("size > 0").groupBy("doc", "tag").agg(F.count("*").alias("times"))
+    times = times.select(F.col("doc").alias("t_doc"), F.col("tag").alias("t_tag"), "times")
+    chosen = chosen.join(times, chosen.doc.eqNullSafe(F.col("t_doc")) & (chosen.tag == F.col("t_tag")))
+    bare = rows.filter("size = 0").select("doc", "tag", F.lit(1).cast("long").alias("times")).distinct()
+    keep = kept(chosen.select("doc", "tag", "times").unionByName(bare), "kept-documents").select(
+        F.col("doc").alias("_ng_doc"), F.col("tag").alias("_ng_tag"), F.col("times").alias("_ng_times")
+    )
+    named = docs.withColumns({"_ng_id": F.col(doc_id).cast("long"), "_ng_text": F.xxhash64(text)})
+    left = named.join(keep, F.col("_ng_id").eqNullSafe(F.col("_ng_doc")) & (F.col("_ng_text") == F.col("_ng_tag")))
+    once = left.filter("_ng_times = 1").select(*docs.columns)
+    more = left.filter("_ng_times > 1").dropDuplicates(["_ng_id", "_ng_text"]).select(*docs.columns)
+    return once.unionByName(more)
+
+
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return similar_groups(docs, n=4, share=Fraction(85, 100))
