@@ -6,17 +6,19 @@ anchors, and neighbouring windows mostly share one, so about one anchor stands f
 13 windows. Tasks count anchors, once in a document, in sketches of fixed size;
 the merged count of a window's anchor is never below the number of documents with
 that window. The second pass groups what is estimated in two documents or more
-exactly: first the anchors, then the windows that hold a repeated anchor, by 128
+exactly: first the anchors, then the windows that hold a repeated anchor, by 96
 bits of hash. The first document of a group of windows keeps it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from pyspark.sql import Column, DataFrame
@@ -105,16 +107,29 @@ def _surveyed(docs: DataFrame, window: int, width: int, depth: int) -> DataFrame
     return by_arrow(docs, task, "doc long, tag int, n_words long, digest binary, block int, cells binary")
 
 
-def _anchors(docs: DataFrame, sketch: Sketch, window: int) -> DataFrame:
+def _marked(docs: DataFrame, marked: Sketch) -> DataFrame:
+    """Documents whose id may be marked."""
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pc.fill_null(batch.column("doc"), -1).to_numpy()
+            yield batch.filter(pa.array(shared.value.estimate(ids.view(np.uint64)) > 0))
+
+    return by_arrow(docs, task, "doc long, text binary, tag int")
+
+
+def _anchors(docs: DataFrame, sketch: Sketch, skipped: Sketch | None, window: int) -> DataFrame:
     """Anchors estimated in two documents or more: (anchor, doc)."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    shared = docs.sparkSession.sparkContext.broadcast((sketch, skipped))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words in _long_documents(batches, window):
+        sketch, skipped = shared.value
+        for words in _long_documents(batches, window, skipped):
             rows = []
             for doc, _, hashes in words:
                 found = np.unique(anchors(hashes, window))
-                found = found[shared.value.estimate(found) >= 2]
+                found = found[sketch.estimate(found) >= 2]
                 rows.append((found.view(np.int64), np.full(len(found), doc)))
             if rows:
                 yield pa.RecordBatch.from_arrays([np.concatenate(c) for c in zip(*rows, strict=True)], names=["anchor", "doc"])
@@ -122,36 +137,35 @@ def _anchors(docs: DataFrame, sketch: Sketch, window: int) -> DataFrame:
     return by_arrow(docs, task, "anchor long, doc long")
 
 
-def _suspects(docs: DataFrame, repeated: Sketch, window: int) -> DataFrame:
+def _suspects(docs: DataFrame, repeated: Sketch, skipped: Sketch | None, window: int) -> DataFrame:
     """Windows that may hold a repeated anchor: hash, document, text and place."""
-    shared = docs.sparkSession.sparkContext.broadcast(repeated)
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
+    shared = docs.sparkSession.sparkContext.broadcast((repeated, skipped))
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc", pa.int64()), ("place", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words in _long_documents(batches, window):
+        repeated, skipped = shared.value
+        for words in _long_documents(batches, window, skipped):
             rows = []
             for doc, tag, hashes in words:
-                at = np.flatnonzero(shared.value.estimate(anchors(hashes, window)))
+                at = np.flatnonzero(repeated.estimate(anchors(hashes, window)))
                 h1, h2 = (mixed(window_sums(hashes, window, b))[at].view(np.int64) for b in _BASES)
+                h2 = (h2 >> 32).astype(np.int32)
                 rows.append((h1, h2, np.full(len(at), doc), at + (tag << 32)))
             if rows:
                 yield pa.RecordBatch.from_arrays([np.concatenate(c) for c in zip(*rows, strict=True)], schema=schema)
 
-    return by_arrow(docs, task, "h1 long, h2 long, doc long, place long")
+    return by_arrow(docs, task, "h1 long, h2 int, doc long, place long")
 
 
-def _long_documents(batches: Iterator[pa.RecordBatch], window: int):
-    """Of each chunk the documents with a window: id, tag, word hashes. Copies met before in the task are left out."""
-    seen: dict[int, int] = {}
+def _long_documents(batches: Iterator[pa.RecordBatch], window: int, skipped: Sketch | None):
+    """Of each chunk the documents with a window that may not be skipped: id, tag, word hashes."""
     for part, texts in text_chunks(batches, "text"):
-        found = []
-        for i, (doc, tag) in enumerate(zip(part.column("doc").to_pylist(), part.column("tag").to_pylist(), strict=True)):
-            words = texts.of(i)
-            if doc is None or len(words) < window:
-                continue
-            if _first_of_its_text(seen, xxhash.xxh3_64_intdigest(words.tobytes()), doc):
-                found.append((doc, tag, words))
-        yield part, found
+        ids = pc.fill_null(part.column("doc"), -1).to_numpy()
+        there = (texts.counts() >= window) & np.asarray(part.column("doc").is_valid())
+        if skipped is not None:
+            there &= skipped.estimate(ids.view(np.uint64)) == 0
+        tags = part.column("tag").to_pylist()
+        yield [(int(ids[i]), tags[i], texts.of(i)) for i in np.flatnonzero(there)]
 
 
 def repeated_windows(
@@ -166,28 +180,42 @@ def repeated_windows(
     rows = _documents(docs, doc_id, text)
     survey = kept(_surveyed(rows, window, width, depth), "survey")
     sketch = merged(only(survey, True), width, depth)
+    long = only(survey, False).filter((F.col("n_words") >= window) & F.col("doc").isNotNull())
+    lead = long.groupBy("digest").agg(F.min("doc").alias("lead"))
+    copies = kept(long.join(lead, "digest").filter("doc > lead").select("doc", "tag").distinct(), "copies")
+    # Copies lose all words and have no window that their first document lacks: the passes leave
+    # them out by marks on ids, and take in again what was marked by chance.
+    skipped = marks(copies, "doc", _cells(copies), 2)
+    again = kept(_marked(rows, skipped).join(copies, ["doc", "tag"], "left_anti"), "marked")
+    passes = ((rows, skipped), (again.select(*rows.columns), None))
     shared = kept(
-        _anchors(rows, sketch, window).groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-        .filter("lo < hi").select("anchor"),
+        _union(_anchors(r, sketch, skip, window) for r, skip in passes)
+        .groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor"),
         "anchors",
     )
-    cells = min(max(1 << (8 * shared.count()).bit_length(), 1 << 20), MOST_CELLS)
-    suspects = kept(_suspects(rows, marks(shared, "anchor", cells, 2), window), "suspects")
+    repeated = marks(shared, "anchor", _cells(shared), 2)
+    suspects = kept(_union(_suspects(r, repeated, skip, window) for r, skip in passes), "suspects")
     first = suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    again = suspects.join(first.filter("first < last").drop("last"), ["h1", "h2"]).filter("doc > first")
-    cut = again.groupBy("doc", F.shiftright("place", 32).cast("int").alias("tag")).agg(
-        F.sort_array(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int"))).alias("cut")
-    )
-    long = only(survey, False).filter((F.col("n_words") >= window) & F.col("doc").isNotNull())
-    lead = long.groupBy("digest").agg(F.min("doc").alias("lead"))
-    copies = long.join(lead, "digest").filter("doc > lead").select("doc", "tag", F.lit(None).cast("array<int>").alias("cut"))
-    both = cut.unionByName(copies).groupBy("doc", "tag")
-    whole = F.max(F.col("cut").isNull())
-    out = kept(both.agg(F.when(~whole, F.first("cut", ignorenulls=True)).alias("cut")), "cuts")
-    dropped(suspects, shared, survey)
+    first = kept(first.filter("first < last").drop("last"), "first-windows")
+    cut = (
+        suspects.join(first, ["h1", "h2"]).filter("doc > first")
+        .groupBy("doc", F.shiftright("place", 32).cast("int").alias("tag"))
+        .agg(F.sort_array(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int"))).alias("cut"))
+    )
+    out = kept(cut.unionByName(copies.withColumn("cut", F.lit(None).cast("array<int>"))), "cuts")
+    dropped(survey, copies, again, shared, suspects, first)
     return out
 
 
+def _cells(rows: DataFrame) -> int:
+    """Cells that leave marks of so many rows an error of about one in a hundred, up to MOST_CELLS."""
+    return min(max(1 << (8 * rows.count()).bit_length(), 1 << 20), MOST_CELLS)
+
+
+def _union(parts: Iterator[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     window: int = WINDOW, width: int = WIDTH, depth: int = DEPTH,
