@@ -17,11 +17,10 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from risklake.llm.components import components
-from risklake.llm.scratch import dropped, kept
-from risklake.llm.vectors import hash_strings, lists, matrix, planes, signed, unit_rows, usable_vectors
+from risklake.llm.scratch import kept
+from risklake.llm.vectors import hash_strings, matrix, planes, signed, unit, usable_vectors
 
 BITS = 48
 WINDOW = 48
@@ -50,15 +49,15 @@ def _passes(rows: DataFrame, passes: int, seed: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit = unit_rows(matrix(batch.column("vector")))
+            unit = matrix(batch.column("unit"))
             for p in range(passes):
                 key = signed(hash_strings(unit, planes(seed, p, BITS, unit.shape[1])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), p, np.int32)), pa.array(key), batch.column("id"), lists(unit)],
+                    [pa.array(np.full(len(key), p, np.int32)), pa.array(key), batch.column("id"), batch.column("unit")],
                     names=["pass", "key", "id", "unit"],
                 )
 
-    return rows.mapInArrow(task, "pass int, key long, id long, unit array<double>")
+    return rows.select("id", "unit").mapInArrow(task, "pass int, key long, id long, unit array<double>")
 
 
 def _window_links(ordered: DataFrame, window: int, cosine: float) -> DataFrame:
@@ -138,7 +137,9 @@ def near_duplicates(
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     usable = usable_vectors(vectors, vec_id, vector)
-    distinct = kept(usable.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "distinct-vectors")
+    distinct = usable.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
+    distinct = kept(distinct, "distinct-vectors").withColumn("unit", unit(F.col("vector")))
+    distinct = kept(distinct, "unit-vectors")
     links = None
     for dim, n in distinct.groupBy(F.size("vector").alias("dim")).count().collect():
         rows = distinct.filter(F.size("vector") == dim)
@@ -149,15 +150,7 @@ def near_duplicates(
     if links is None:
         return _result(vectors, vec_id, vector, distinct.select("vector", "id", F.lit(0).alias("n"), F.lit(0).alias("c")))
     labels = kept(components(links), "vector-labels")
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("unit", T.ArrayType(T.DoubleType()))])
-
-    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists(unit_rows(matrix(batch.column("vector"))))], names=["id", "unit"])
-
-    linked = distinct.join(labels, distinct.id == labels.node)
-    unit = linked.select("id", "vector").mapInArrow(units, schema)
-    member = linked.select("id", "component", "weight").join(unit, "id")
+    member = distinct.join(labels, distinct.id == labels.node).select("id", "component", "weight", "unit")
     counted = _block_links(member, cosine, block_rows)
     named = (
         distinct.join(labels, distinct.id == labels.node, "left").join(counted, "id", "left")

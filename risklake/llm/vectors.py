@@ -29,11 +29,6 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def lists(rows: np.ndarray) -> pa.Array:
-    n, d = rows.shape
-    return pa.ListArray.from_arrays(np.arange(0, n * d + 1, d, dtype=np.int32), rows.ravel())
-
-
 def planes(seed: int, number: int, bits: int, dim: int) -> np.ndarray:
     """Random hyperplanes of one hash string; the same in every task."""
     return np.random.default_rng([seed, number]).standard_normal((dim, bits))
@@ -51,8 +46,9 @@ def signed(keys: np.ndarray) -> np.ndarray:
     return (keys ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def unit_rows(rows: np.ndarray) -> np.ndarray:
-    """Rows divided by their length, safe for very large and very small components."""
-    top = np.abs(rows).max(1, keepdims=True)
-    rows = rows / top
-    return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
+def unit(vector: Column) -> Column:
+    """The vector divided by its length, safe for very large and very small components."""
+    top = F.array_max(F.transform(vector, F.abs))
+    scaled = F.transform(vector, lambda x: x / top)
+    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
+    return F.transform(scaled, lambda x: x / length)
