@@ -35,7 +35,7 @@ from risklake.llm.words import Texts, by_arrow, mixed, text_chunks, window_sums
 WIDTH = 1 << 22
 WANTED_WIDTH = 1 << 23
 FRAGMENTS = 4
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 _EST_BITS = 20
 
 
@@ -210,9 +210,13 @@ class JaccardJoin:
         return out
 
     def leader_pairs(self, labels: DataFrame | None, seed: int) -> DataFrame:
-        """Each node with the leader it shares most rare n-grams with, if in another component."""
+        """Each node with the leader it shares most rare n-grams with, if in another component.
+
+        An n-gram's leader is the node that has the fewest rarer ones, the copy with
+        the fewest edits of its own: what is similar to another copy is similar to it.
+        """
         rows = self._labelled(labels)
-        order = F.xxhash64("node", F.lit(seed))
+        order = F.struct("pos", F.xxhash64("node", F.lit(seed)))
         leader = rows.groupBy("token").agg(F.min(F.struct(order.alias("o"), "node", "size", "pos", "label")).alias("l"))
         led = rows.join(leader, "token").filter(
             (F.col("label") != F.col("l.label"))
