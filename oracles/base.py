@@ -34,7 +34,11 @@ r AS (SELECT transaction_id, customer_id, amount, transaction_type,
 raw_tx AS MATERIALIZED (
 SELECT transaction_id, customer_id, amount, transaction_type, channel, merchant_category, ts AS "timestamp", status, risk_score, segment, credit_score, is_fraud FROM r
 UNION ALL
-SELECT transaction_id + 1000000000, customer_id, amount, transaction_type, channel, merchant_category, ts, status, risk_score, segment, credit_score, is_fraud FROM r WHERE ok % 500 = 3)"""
+SELECT transaction_id + 1000000000, customer_id, amount, transaction_type, channel, merchant_category, ts, status, risk_score, segment, credit_score, is_fraud FROM r WHERE ok % 500 = 3
+UNION ALL
+SELECT transaction_id, customer_id, amount, transaction_type, channel, merchant_category, NULL, status, risk_score, segment, credit_score, is_fraud FROM r WHERE ok % 500 = 13
+UNION ALL
+SELECT NULL, customer_id, amount, transaction_type, channel, merchant_category, ts, status, risk_score, segment, credit_score, is_fraud FROM r WHERE ok % 500 = 23)"""
 
 
 def rnd(x: str, digits: int) -> str:
@@ -71,13 +75,13 @@ def big(x: str) -> str:
 
 MARKED = """
 marked AS MATERIALIZED (SELECT *,
-  ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY "timestamp" NULLS FIRST, customer_id NULLS FIRST,
-    amount NULLS FIRST, transaction_type NULLS FIRST, channel NULLS FIRST, merchant_category NULLS FIRST,
-    status NULLS FIRST, risk_score NULLS FIRST, segment NULLS FIRST, credit_score NULLS FIRST,
-    is_fraud NULLS FIRST) > 1 AS repete_id,
+  ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY "timestamp" NULLS LAST, customer_id NULLS LAST,
+    amount NULLS LAST, transaction_type NULLS LAST, channel NULLS LAST, merchant_category NULLS LAST,
+    status NULLS LAST, risk_score NULLS LAST, segment NULLS LAST, credit_score NULLS LAST,
+    is_fraud NULLS LAST) > 1 AS repete_id,
   ROW_NUMBER() OVER (PARTITION BY customer_id, amount, transaction_type, channel, merchant_category,
-    "timestamp", status, risk_score ORDER BY transaction_id NULLS FIRST, segment NULLS FIRST,
-    credit_score NULLS FIRST, is_fraud NULLS FIRST) > 1 AS repete_conteudo
+    "timestamp", status, risk_score ORDER BY transaction_id NULLS LAST, segment NULLS LAST,
+    credit_score NULLS LAST, is_fraud NULLS LAST) > 1 AS repete_conteudo
   FROM raw_tx)"""
 
 STG = f"""

@@ -83,7 +83,9 @@ _BY_MONTH = f"""SELECT year, month, COUNT(*) AS transacoes, COUNT(*) FILTER (WHE
   {money(f"SUM({cents('amount')})")} AS valor_total FROM silver GROUP BY year, month"""
 
 _CUSTOMERS = """clientes AS (SELECT c_custkey AS customer_id, c_nationkey AS nacao, c_mktsegment AS mercado
-  FROM customer WHERE c_acctbal >= 0)"""
+  FROM customer),
+fatos AS (SELECT transaction_id, is_fraud, CASE WHEN customer_id % 17 = 0 THEN -customer_id ELSE customer_id END AS customer_id
+  FROM silver)"""
 
 # Planted faults and their outcomes.
 _FAULTS = """(VALUES (0, 'copia_exata', 'duplicata_id;duplicata_conteudo'),
@@ -118,10 +120,11 @@ LAYER_ORACLES = {
     "row_funnel": over("gold", _FUNNEL),
     "incremental_load": over(
         "raw",
-        f"""SELECT {_YM}, COUNT(*) FILTER (WHERE "timestamp" < TIMESTAMP '2000-01-01') AS linhas_iniciais,
-              COUNT(*) FILTER (WHERE "timestamp" > (SELECT MAX("timestamp") FROM raw_tx
-                WHERE "timestamp" < TIMESTAMP '2000-01-01')) AS linhas_incrementais
-            FROM raw_tx GROUP BY ALL""",
+        f"""SELECT {_YM}, COUNT(*) FILTER (WHERE COALESCE(early, FALSE)) AS linhas_iniciais,
+              COUNT(*) FILTER (WHERE NOT COALESCE(early, FALSE)) AS linhas_incrementais
+            FROM (SELECT *, "timestamp" < TIMESTAMP '2000-01-01' AND NOT COALESCE("timestamp" = (
+                SELECT MAX("timestamp") FROM raw_tx WHERE "timestamp" < TIMESTAMP '2000-01-01')
+                AND transaction_id % 2 = 0, FALSE) AS early FROM raw_tx) GROUP BY ALL""",
     ),
     "reprocess_month": over("silver", _BY_MONTH.format(fraud="is_fraud")),
     "late_labels": over(
@@ -188,12 +191,12 @@ LAYER_ORACLES = {
     "enrich_customer": over(
         "silver",
         """SELECT transaction_id, s.customer_id, is_fraud, nacao, mercado
-           FROM silver s LEFT JOIN clientes c ON s.customer_id = c.customer_id""",
+           FROM fatos s LEFT JOIN clientes c ON s.customer_id = c.customer_id""",
         _CUSTOMERS,
     ),
     "orphans": over(
         "silver",
-        """SELECT customer_id, COUNT(*) AS transacoes FROM silver
+        """SELECT customer_id, COUNT(*) AS transacoes FROM fatos
            WHERE customer_id NOT IN (SELECT customer_id FROM clientes) GROUP BY 1""",
         _CUSTOMERS,
     ),

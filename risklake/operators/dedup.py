@@ -30,7 +30,7 @@ from risklake.sources.layers import ROW_ADDRESS
 
 
 class Check(NamedTuple):
-    """Rows agreeing on ``key`` are one group; the first in ``order`` is kept."""
+    """Rows agreeing on ``key`` are one group; the first in ``order``, NULLs last, is kept."""
 
     key: Sequence[str]
     order: Sequence[str]
@@ -119,10 +119,10 @@ def duplicate_marks(
 
 
 def _all_but_first(candidates: DataFrame, check: Check, address: Sequence[str]) -> DataFrame:
-    order = dict.fromkeys((*check.order, *address))
+    order = [F.struct(F.col(c).isNull(), F.col(c)).alias(f"_{i}") for i, c in enumerate(check.order)]
     first = (
         candidates.groupBy(*check.key)
-        .agg(F.min(F.struct(*order)).alias("_first"))
+        .agg(F.min(F.struct(*order, *address)).alias("_first"))
         .select(*[F.col(f"_first.{a}").alias(a) for a in address])
     )
     return candidates.select(*address).join(first, list(address), "left_anti")
@@ -131,18 +131,15 @@ def _all_but_first(candidates: DataFrame, check: Check, address: Sequence[str])
 def with_marks(
     raw: DataFrame,
     marks: DataFrame,
-    few: bool,
     checks: Mapping[str, Check] = CHECKS,
     address: Sequence[str] = ROW_ADDRESS,
 ) -> DataFrame:
     """Raw rows plus one duplicate flag per check.
 
-    ``few`` says the marks were counted and are small enough to broadcast, which
-    leaves raw rows where they are. Otherwise both sides are merged by address,
-    a unique and evenly spread key.
+    Marks and rows meet by address, a unique and evenly spread key. The planner
+    picks the join from the measured size of the written marks.
     """
-    side = F.broadcast(marks) if few else marks.hint("merge")
-    joined = raw.join(side, list(address), "left")
+    joined = raw.join(marks, list(address), "left")
     return joined.select(
         *[c for c in raw.columns if c not in address],
         *[F.coalesce(n, F.lit(False)).alias(n) for n in checks],

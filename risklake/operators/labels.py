@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from risklake.session import written
+
 
 def latest_labels(labels: DataFrame) -> DataFrame:
     """The most recent label per transaction; corrections may follow each other."""
+    month = [F.first(c).alias(c) for c in ("year", "month") if c in labels.columns]
     return labels.groupBy("transaction_id").agg(
-        F.max_by("is_fraud", "rotulado_em").alias("_rotulo")
+        F.max_by("is_fraud", "rotulado_em").alias("_rotulo"), *month
     )
 
 
@@ -17,17 +20,20 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
     """Silver rows of the affected months only, with their latest labels.
 
     The result feeds a dynamic partition overwrite, so months without a changed
-    label are neither rewritten nor, after the month list is known, read.
+    label are not rewritten. Labels that carry the year and month of their
+    transaction also prune every read of Silver to those months.
     """
-    latest = latest_labels(labels)
-    touched = silver.select("transaction_id", "year", "month").join(latest, "transaction_id")
+    latest = written(latest_labels(labels), "rotulos")
+    dated = {"year", "month"} <= set(latest.columns)
+    there = silver.join(latest.select("year", "month").distinct(), ["year", "month"], "left_semi") if dated else silver
+    touched = there.select("transaction_id", "year", "month").join(latest.select("transaction_id"), "transaction_id")
     months = touched.select("year", "month").distinct()
     columns = [
         F.coalesce("_rotulo", "is_fraud").alias(c) if c == "is_fraud" else F.col(c)
         for c in silver.columns
     ]
     return (
-        silver.join(months, ["year", "month"], "left_semi")
-        .join(latest, "transaction_id", "left")
+        there.join(months, ["year", "month"], "left_semi")
+        .join(latest.select("transaction_id", "_rotulo"), "transaction_id", "left")
         .select(*columns)
     )

@@ -107,14 +107,6 @@ def with_flags(evaluated: DataFrame) -> DataFrame:
     )
 
 
-def split(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows with quality flags, rejected rows with their reasons)."""
-    flagged = with_flags(evaluated)
-    valid = flagged.where(F.col("motivo") == "").drop("motivo")
-    rejected = flagged.where(F.col("motivo") != "").select(*CLEAN_COLUMNS, "motivo")
-    return valid, rejected
-
-
 def flag_totals(bronze: DataFrame) -> DataFrame:
     return bronze.agg(
         F.count_if("flag_valor_no_piso").alias("valor_no_piso"),

@@ -1,12 +1,13 @@
 """Distributed running totals and the statistics built on them.
 
 A running total over a whole table would sort everything in one task. Here the
-order is cut into quantile buckets: each bucket is accumulated on its own and
-shifted by the totals of the buckets before it.
+order is cut into range partitions: each is accumulated on its own and shifted by
+the totals of the partitions before it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,66 +16,26 @@ from pyspark.sql import functions as F
 from risklake.functions.numeric import percent, round_half
 from risklake.session import written
 
-SEARCH_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
-BUCKETS = 256
-# Above this many rows each bucket is cut into 256 again.
-ONE_LEVEL_ROWS = 1 << 26
-
-
-def _bucket(bounds: str, value: Column) -> Column:
-    """How many of the sorted bounds lie below the value, by binary search."""
-    steps = F.array(*[F.lit(s) for s in SEARCH_STEPS])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda i, s: F.when(F.get(bounds, i + s - 1) < value, i + s).otherwise(i),
-    )
-
-
-def _bucketed(
-    df: DataFrame, series: Sequence[str], order: str, levels: int
-) -> tuple[DataFrame, list[str]]:
-    """Add one bucket column per level; later levels split the buckets before them.
-
-    Bounds are written before use, so that every reader cuts at the same values.
-    They are broadcast: one row per series, and per bucket of the level above.
-    """
-    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
-    names = [f"_bucket{level}" for level in range(levels)]
-    for level, name in enumerate(names):
-        keys = [*series, *names[:level]]
-        quantiles = F.percentile_approx(order, probabilities, 10 * BUCKETS)
-        bounds = written(df.groupBy(*keys).agg(quantiles.alias("_bounds")), "limites")
-        df = df.join(F.broadcast(bounds), keys).select(
-            *df.columns, _bucket("_bounds", F.col(order)).alias(name)
-        )
-    return df, names
-
 
 def running_total(
-    df: DataFrame,
-    series: Sequence[str],
-    order: str,
-    values: Sequence[str],
-    levels: int | None = None,
+    df: DataFrame, series: Sequence[str], order: str, values: Sequence[str]
 ) -> DataFrame:
     """Add ``cum_<value>``: inclusive sums in ascending ``order`` per series.
 
-    ``order`` must be numeric and unique within a series (aggregate ties first),
-    and series few (a variable, a month, a cut), never a row-level key. The
-    input is written once. Bucket totals join on the keys the rows are already
-    partitioned by, so only they move.
+    ``order`` must be unique within a series (aggregate ties first), and series
+    few (a variable, a month, a cut), never a row-level key. The rows are written
+    once in order, each with the number of the partition that holds it; there are
+    as many partitions as the data needs. Each is accumulated on its own and
+    shifted by the totals of the partitions before it.
     """
-    df = written(df, "ordem", gather=True)
-    if levels is None:
-        levels = 1 if df.count() <= ONE_LEVEL_ROWS else 2
-    bucketed, buckets = _bucketed(df, series, order, levels)
-    keys = [*series, *buckets]
-    before = Window.partitionBy(*series).orderBy(*buckets).rowsBetween(
+    ranged = df.repartitionByRange(*series, order).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "ordem")
+    keys = [*series, "_part"]
+    before = Window.partitionBy(*series).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        bucketed.groupBy(*keys)
+        ranged.groupBy(*keys)
         .agg(*[F.sum(v).alias(f"_in_{v}") for v in values])
         .select(
             *keys,
@@ -86,9 +47,7 @@ def running_total(
     )
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        bucketed.select(
-            *df.columns, *buckets, *[F.sum(v).over(inside).alias(f"_cum_{v}") for v in values]
-        )
+        ranged.select("*", *[F.sum(v).over(inside).alias(f"_cum_{v}") for v in values])
         .join(offsets, keys)
         .select(
             *df.columns,
@@ -165,13 +124,15 @@ def capture_top(
     """Frauds caught when reviewing the top fractions by score.
 
     Reviewed rows are the k = n x fraction highest scores (half-even rounding),
-    ties broken by ascending id. Scores above the cut are settled on the score
-    histogram; only the rows tied at a cut score are ordered by id. One row per
-    fraction is broadcast.
+    ties broken by ascending id; n counts all rows, and those without a score come
+    last. A fraction too small for one row is reported with none. Scores above the
+    cut are settled on the score histogram; only the rows tied at a cut score are
+    ordered by id. One row per fraction is broadcast.
     """
+    lowest = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
+    df = df.withColumn(score, lowest)
     hist = written(
-        df.where(F.col(score).isNotNull())
-        .groupBy(score)
+        df.groupBy(score)
         .agg(F.count("*").alias("n"), F.count_if(F.col(label)).alias("f")),
         "histograma",
     )
@@ -207,51 +168,66 @@ def capture_top(
     )
     taken = running_total(tied, ["fatia"], "_id", ["_one"]).where("cum__one <= _take")
     caught = F.first("_above") + F.sum("_y")
-    return taken.groupBy("fatia", "k").agg(caught.alias("fraudes")).select(
+    found = taken.groupBy("fatia").agg(caught.alias("fraudes"))
+    every = hist.agg(F.sum("n").alias("_rows")).select("_rows", F.explode(fatias).alias("fatia"))
+    k = F.bround(F.coalesce("_rows", F.lit(0)) * F.col("fatia"), 0).cast("bigint")
+    return every.select("fatia", k.alias("k")).join(F.broadcast(found), "fatia", "left").select(
         "fatia",
         F.col("k").alias("transacoes_revisadas"),
-        "fraudes",
-        percent(F.col("fraudes"), frauds, 4).alias("recall_pct"),
-        percent(F.col("fraudes"), F.col("k"), 4).alias("precisao_pct"),
+        F.coalesce("fraudes", F.lit(0)).cast("bigint").alias("fraudes"),
+        percent(F.coalesce("fraudes", F.lit(0)), frauds, 4).alias("recall_pct"),
+        percent(F.coalesce("fraudes", F.lit(0)), F.col("k"), 4).alias("precisao_pct"),
     )
 
 
 def chi2_tail(x: Column, dof: Column) -> Column:
     """P(chi-square with ``dof`` degrees of freedom > x), as a column expression.
 
-    Even degrees of freedom have a finite sum. Odd ones use the power series of
-    the lower incomplete gamma function.
+    Both parities have finite sums: of a Poisson tail for even degrees of freedom,
+    of its half-integer counterpart beside the normal tail for odd ones. Every term
+    is positive and is evaluated as one exponential, so large statistics neither
+    cancel nor overflow.
     """
     half = x / F.lit(2.0)
-    step = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
-    even = F.aggregate(
-        F.when(dof > 2, F.sequence(F.lit(1), (dof / 2).cast("int") - 1)).otherwise(
-            F.array().cast("array<int>")
-        ),
-        step,
-        lambda a, i: F.struct(
-            (a["t"] * half / i).alias("t"), (a["s"] + a["t"] * half / i).alias("s")
-        ),
-        lambda a: F.exp(-half) * a["s"],
+    odd = dof % 2 == 1
+    terms = F.when(odd, ((dof - 1) / 2).cast("int")).otherwise((dof / 2).cast("int"))
+    shift = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    # Logarithms of gamma(i + shift + 1), built up from gamma(1) and gamma(3/2).
+    start = F.struct(
+        F.when(odd, F.log(F.sqrt(F.pi()) / 2)).otherwise(F.lit(0.0)).alias("g"), F.lit(0.0).alias("s")
     )
-    shape = dof.cast("double") / F.lit(2.0)
-    gamma = F.aggregate(
-        F.sequence(F.lit(0), ((dof - 1) / 2).cast("int")),
-        F.sqrt(F.pi()),
-        lambda g, i: F.when(i == 0, g).otherwise(g * (i.cast("double") - F.lit(0.5))),
-    )
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(2000)),
-        F.struct((F.lit(1.0) / shape).alias("t"), (F.lit(1.0) / shape).alias("s")),
+
+    def add(a: Column, i: Column) -> Column:
+        power = i.cast("double") + shift
+        at_zero = F.when(power > 0, F.lit(0.0)).otherwise(F.lit(1.0))
+        term = F.when(half > 0, F.exp(power * F.log(half) - half - a["g"])).otherwise(at_zero)
+        return F.struct((a["g"] + F.log(power + 1)).alias("g"), (a["s"] + term).alias("s"))
+
+    counted = F.when(terms > 0, F.sequence(F.lit(0), terms - 1)).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate(counted, start, add, lambda a: a["s"])
+    return total + F.when(odd, normal_tail2(F.sqrt(x))).otherwise(F.lit(0.0))
+
+
+def normal_tail2(z: Column, levels: int = 120) -> Column:
+    """P(|normal| > z) for z >= 0.
+
+    Below 2.5 by the series of positive terms for the centre, beyond by the
+    continued fraction of the tail, evaluated from its end; both are converged to
+    double precision there at this depth.
+    """
+    down = F.sequence(F.lit(levels), F.lit(1), F.lit(-1))
+    fraction = F.aggregate(down, z, lambda f, i: z + i.cast("double") / f)
+    density = F.exp(-z * z / 2) * math.sqrt(2 / math.pi)
+    up = F.sequence(F.lit(1), F.lit(levels))
+    centre = F.aggregate(
+        up,
+        F.struct(z.alias("t"), z.alias("s")),
         lambda a, i: F.struct(
-            (a["t"] * half / (shape + i)).alias("t"),
-            (a["s"] + a["t"] * half / (shape + i)).alias("s"),
-        ),
-        lambda a: F.greatest(
-            F.lit(0.0), F.lit(1.0) - F.pow(half, shape) * F.exp(-half) / gamma * a["s"]
+            (a["t"] * z * z / (2 * i + 1)).alias("t"), (a["s"] + a["t"] * z * z / (2 * i + 1)).alias("s")
         ),
+        lambda a: a["s"],
     )
-    return F.when(dof % 2 == 0, even).otherwise(series)
+    return F.when(z < 2.5, F.lit(1.0) - density * centre).otherwise(density / fraction)
 
 
 def chi2(counts: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:

@@ -134,6 +134,12 @@ def credit_independence(lake: Lake) -> DataFrame:
     return chi2(counts, "faixa_credit_score", ["fraudes", "legitimas"])
 
 
+def channel_independence(lake: Lake) -> DataFrame:
+    """Fraud against the four channels: three degrees of freedom."""
+    counts = lake.cube.select("channel", "fraudes", (F.col("transacoes") - F.col("fraudes")).alias("legitimas"))
+    return chi2(counts, "channel", ["fraudes", "legitimas"])
+
+
 def candidate_rules() -> dict[str, Column]:
     """Overlapping alert rules by label."""
     engine = F.col("risk_score") >= 80

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,16 +57,21 @@ def _survivors(flag: str) -> Query:
 
 
 def _registered_customers(lake: Lake) -> DataFrame:
-    """Customers in good standing; the others are unknown to the register."""
-    return lake.given("customer").where("c_acctbal >= 0").select(
+    return lake.given("customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_nationkey").alias("nacao"),
         F.col("c_mktsegment").alias("mercado"),
     )
 
 
+def _facts_with_orphans(lake: Lake) -> DataFrame:
+    """Silver in which every 17th customer number is one that no register has."""
+    unknown = F.when(F.col("customer_id") % 17 == 0, -F.col("customer_id")).otherwise(F.col("customer_id"))
+    return lake.silver.withColumn("customer_id", unknown)
+
+
 def _enriched(lake: Lake) -> DataFrame:
-    facts = lake.silver.select("transaction_id", "customer_id", "is_fraud")
+    facts = _facts_with_orphans(lake).select("transaction_id", "customer_id", "is_fraud")
     return enrich_customer(facts, _registered_customers(lake)).select(
         "transaction_id", "customer_id", "is_fraud", "nacao", "mercado"
     )
@@ -118,11 +123,27 @@ def stored_schema(df: DataFrame):
     )
 
 
-def _events(lake: Lake) -> DataFrame:
+def _events(lake: Lake, session: SparkSession | None = None) -> DataFrame:
     """The given events as a stream. Written as a pattern, the path may name a
     single file (a plain stream path must be a folder) or a folder of files."""
     path = f"{lake.source}/events.parque[t]"
-    return jobs.read_events(jobs.stream_session(lake.spark), path)
+    return jobs.read_events(session or jobs.stream_session(lake.spark), path)
+
+
+def _closed_windows(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All windows of the feed: those open at its end are closed by an end-of-feed event."""
+    session, feed = jobs.stream_session(lake.spark), loads.fresh(lake, f"{name}-fim")
+    given = lake.given("events")
+    given.select(*[F.col(f.name).cast(f.dataType) for f in jobs.EVENT_SCHEMA.fields]).limit(0).write.parquet(feed)
+    out, progress = loads.fresh(lake, name), loads.fresh(lake, f"{name}-progresso")
+    last = given.agg(F.max("ts").cast("timestamp_ntz").cast("string")).first()[0]
+    for ended in (False, True):
+        if ended and last is not None:
+            jobs.end_of_feed(lake.spark, last, feed)
+        events = _events(lake, session).unionByName(jobs.read_events(session, feed))
+        stream = build(events)
+        jobs.run(stream, out, progress).awaitTermination()
+    return lake.spark.read.schema(stored_schema(stream)).parquet(out)
 
 
 def _stream_land(lake: Lake) -> DataFrame:
@@ -222,7 +243,7 @@ CATALOG: dict[str, Query] = {
     "gold_conservation": lambda lake: conservation(lake.marts(), lake.silver),
     "gold_check_segment": analyses.segment_check,
     "enrich_customer": _enriched,
-    "orphans": lambda lake: orphans(lake.silver, _registered_customers(lake)),
+    "orphans": lambda lake: orphans(_facts_with_orphans(lake), _registered_customers(lake)),
     "late_labels": lambda lake: loads.late_labels(lake, 2001),
     # published analyses
     "a0": lambda lake: analyses.overview(lake.cube),
@@ -241,6 +262,7 @@ CATALOG: dict[str, Query] = {
     "a5a": analyses.by_risk_band,
     "a5b_auc": analyses.lone_auc,
     "a5b_chi2": analyses.credit_independence,
+    "a5b_chi2_channel": analyses.channel_independence,
     "a5c": analyses.rule_simulation,
     "fraud_by_type": analyses.fraud_by_type,
     "auc_by_month": analyses.auc_by_month,
@@ -302,8 +324,8 @@ CATALOG: dict[str, Query] = {
     ),
     # streams
     "stream_land": _stream_land,
-    "stream_tumbling": lambda lake: _stream(lake, "janelas", jobs.tumbling(_events(lake))),
-    "stream_sliding": lambda lake: _stream(lake, "deslizantes", jobs.sliding(_events(lake))),
+    "stream_tumbling": lambda lake: _closed_windows(lake, "janelas", jobs.tumbling),
+    "stream_sliding": lambda lake: _closed_windows(lake, "deslizantes", jobs.sliding),
     "stream_dedup": _stream_dedup,
     "stream_quality": _stream_quality,
     "stream_score": _stream_score,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +29,6 @@ from risklake.sources.transactions import raw_transactions, table
 # One pass writes valid and rejected rows side by side; the first is Bronze.
 BRONZE = "bronze/situacao=valida"
 
-# Duplicate marks are broadcast up to this many rows (some tens of megabytes).
-BROADCAST_MARKS = 200_000
-
 
 @dataclass
 class Lake:
@@ -42,6 +38,8 @@ class Lake:
     root: str
     bounds: RuleBounds = field(default_factory=RuleBounds)
     source: str | None = None
+    #: Counts the builds, so that what was derived from an earlier one is not used again.
+    version: int = 0
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,7 +57,9 @@ class Lake:
 
     @property
     def bronze(self) -> DataFrame:
-        return self.layer(BRONZE).drop("motivo")
+        """Valid rows; none where every row was rejected."""
+        rows = self.layer("bronze").where(F.col("situacao") == "valida")
+        return rows.drop("situacao", "motivo")
 
     @property
     def quarantine(self) -> DataFrame:
@@ -82,12 +82,7 @@ class Lake:
     def marked(self) -> DataFrame:
         """Raw rows with their duplicate flags, from the written marks."""
         raw = read_addressed(self.spark, self.path("raw_particionada"))
-        return with_marks(raw, self.layer("work/duplicatas"), self.few_duplicates)
-
-    @cached_property
-    def few_duplicates(self) -> bool:
-        """Whether the written marks are few enough to broadcast (a footer count)."""
-        return self.layer("work/duplicatas").count() <= BROADCAST_MARKS
+        return with_marks(raw, self.layer("work/duplicatas"))
 
     def staged(self) -> DataFrame:
         return stage(self.marked())
@@ -102,15 +97,13 @@ class Lake:
         addressed = read_addressed(self.spark, self.path("raw_particionada"))
         marks = duplicate_marks(addressed, keys_only=self.raw)
         write_layer(marks, self.path("work/duplicatas"))
-        self.__dict__.pop("few_duplicates", None)
 
     def refine(self) -> None:
         """Evaluate every raw row once and file it as valid or rejected.
 
-        With few duplicates rows stay in raw's file order, one month per file,
-        and no shuffle is needed; a merge by address scatters the months, so the
-        result is then rebalanced. Rejected rows, few per input file, are
-        gathered into well-sized quarantine files.
+        Rows are rebalanced by month whichever join the planner chose for the
+        marks, so Bronze's files look alike at every size. Rejected rows, few per
+        input file, are gathered into well-sized quarantine files.
         """
         evaluated = evaluate(self.staged(), quality_rules(self.bounds))
         situation = F.when(F.col("motivo") == "", F.lit("valida")).otherwise(F.lit("rejeitada"))
@@ -118,7 +111,6 @@ class Lake:
             with_flags(evaluated).withColumn("situacao", situation),
             self.path("bronze"),
             ("situacao", *MONTHLY),
-            spread=not self.few_duplicates,
         )
         rejected = self.layer("bronze").where(F.col("situacao") == "rejeitada")
         write_layer(rejected.select(*CLEAN_COLUMNS, "motivo"), self.path("quarentena"))
@@ -137,6 +129,7 @@ class Lake:
             write_small(pick_mart(sets, name), self.path(f"gold/{name}"))
 
     def build(self, raw: DataFrame) -> Lake:
+        self.version += 1
         self.load_raw(raw)
         self.mark_duplicates()
         self.refine()

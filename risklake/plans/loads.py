@@ -83,12 +83,17 @@ def one_month(lake: Lake, year: int, month: int) -> DataFrame:
 
 
 def incremental_load(lake: Lake, first_until: str) -> DataFrame:
-    """A first load up to an instant, then an append of everything later."""
+    """A first load, then an append of all that it lacked.
+
+    The first load holds the rows before an instant and half of those of the last
+    instant before it, so that the second meets rows tied with the mark.
+    """
     target = fresh(lake, "incremental")
-    src = lake.raw.where(F.col("timestamp").isNotNull())
-    write_layer(
-        src.where(F.col("timestamp") < F.lit(first_until).cast("timestamp_ntz")), target, MONTHLY
-    )
+    src = lake.raw
+    early = src.where(F.col("timestamp") < F.lit(first_until).cast("timestamp_ntz"))
+    last = early.agg(F.max("timestamp").alias("v")).scalar()
+    late = (F.col("timestamp") == last) & (F.col("transaction_id") % 2 == 0)
+    write_layer(early.where(~F.coalesce(late, F.lit(False))), target, MONTHLY)
     loaded = read_layer(lake.spark, target)
     before = loaded.groupBy(*MONTHLY).agg(F.count("*").alias("linhas_iniciais"))
     delta = inc.incremental(src, loaded, "timestamp")
@@ -137,8 +142,9 @@ def chargebacks(lake: Lake, year: int) -> DataFrame:
     steps = F.when(F.col("channel") == "web", F.array(revoked, confirmed)).otherwise(
         F.array(confirmed)
     )
-    return hit.select("transaction_id", "ts", F.inline(steps)).select(
+    return hit.select("transaction_id", "ts", *MONTHLY, F.inline(steps)).select(
         "transaction_id",
+        *MONTHLY,
         F.col("r").alias("is_fraud"),
         (F.col("ts") + F.make_dt_interval(days="d")).alias("rotulado_em"),
     )
@@ -158,24 +164,27 @@ def late_labels(lake: Lake, year: int) -> DataFrame:
     return _fraud_by_month(read_layer(lake.spark, path))
 
 
-def compacted(lake: Lake) -> DataFrame:
-    """A fragmented copy of raw (as many small loads leave it) before and after."""
+def compacted(lake: Lake, loads: int = 4) -> DataFrame:
+    """A copy of raw as several small loads leave it, before and after compaction."""
     src, dst = fresh(lake, "fragmentado"), fresh(lake, "compactado")
-    loads = min(
-        int(lake.spark.conf.get("spark.sql.shuffle.partitions")),
-        lake.spark.sparkContext.defaultParallelism,
-    )
-    scattered = lake.raw.repartition(loads, "transaction_id")
-    write_layer(scattered, src, MONTHLY, spread=False)
+    load = F.pmod(F.xxhash64("transaction_id", "timestamp"), F.lit(loads))
+    for k in range(loads):
+        append_layer(lake.raw.where(load == k), src)
     compact(lake.spark, src, dst)
     before, after = file_report(lake.spark, src), file_report(lake.spark, dst)
-    return before.withColumnsRenamed(
-        {"arquivos": "arquivos_antes", "linhas": "linhas_antes"}
-    ).join(
-        after.withColumnsRenamed({"arquivos": "arquivos_depois", "linhas": "linhas_depois"}),
-        list(MONTHLY),
-        "full_outer",
+    before = before.withColumnsRenamed({"arquivos": "arquivos_antes", "linhas": "linhas_antes"})
+    after = after.select(
+        *[F.col(c).alias(f"_{c}") for c in MONTHLY],
+        F.col("arquivos").alias("arquivos_depois"),
+        F.col("linhas").alias("linhas_depois"),
     )
+    same = F.lit(True)
+    for c in MONTHLY:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return before.join(after, same, "full_outer").select(
+        *[F.coalesce(c, f"_{c}").alias(c) for c in MONTHLY],
+        "arquivos_antes", "linhas_antes", "arquivos_depois", "linhas_depois",
+    )
 
 
 LAYER_FOLDERS = {

@@ -157,9 +157,10 @@ def with_interaction(df: DataFrame) -> DataFrame:
 
 # -- over a lake -------------------------------------------------------------
 
-_READY: set[str] = set()
-_MODELS: dict[str, PipelineModel] = {}
-_GLMS: dict[tuple[str, bool], GeneralizedLinearRegressionModel] = {}
+# Keyed by lake folder and build.
+_READY: set[tuple[str, int]] = set()
+_MODELS: dict[tuple[str, int], PipelineModel] = {}
+_GLMS: dict[tuple[str, int, bool], GeneralizedLinearRegressionModel] = {}
 
 
 def feature_table(lake: Lake, train: bool | None = None) -> DataFrame:
@@ -168,27 +169,27 @@ def feature_table(lake: Lake, train: bool | None = None) -> DataFrame:
     Iterative training then rereads a compact table instead of recomputing the
     lineage, and the filter on the side prunes folders.
     """
-    path = lake.path("work/features")
-    if path not in _READY:
+    path, key = lake.path("work/features"), (lake.root, lake.version)
+    if key not in _READY:
         df = features(lake.silver).withColumn(
             "treino", hash_percent("transaction_id") < TRAIN_PERCENT
         )
         write_layer(df, path, ("treino",), spread=False)
-        _READY.add(path)
+        _READY.add(key)
     df = lake.layer("work/features")
     return df if train is None else df.where(F.col("treino") == F.lit(train))
 
 
 def lake_model(lake: Lake) -> PipelineModel:
-    path = lake.path("work/model")
-    if path not in _MODELS:
+    path, key = lake.path("work/model"), (lake.root, lake.version)
+    if key not in _MODELS:
         fit(feature_table(lake, True)).write().overwrite().save(path)
-        _MODELS[path] = PipelineModel.load(path)
-    return _MODELS[path]
+        _MODELS[key] = PipelineModel.load(path)
+    return _MODELS[key]
 
 
 def lake_glm(lake: Lake, interaction: bool = False) -> GeneralizedLinearRegressionModel:
-    key = (lake.root, interaction)
+    key = (lake.root, lake.version, interaction)
     if key not in _GLMS:
         train = feature_table(lake, True)
         columns = [*FEATURES, "app_x_viagem"] if interaction else FEATURES

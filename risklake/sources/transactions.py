@@ -2,7 +2,8 @@
 
 Line items become transactions: order, customer and part attributes supply the
 customer, channel, category, segment and scores, and fixed arithmetic on the
-keys plants fraud effects and the dirty values the quality rules must catch.
+keys plants fraud effects and the dirty values the quality rules must catch. Some
+rows have a copy under a new id, a copy without its time, or one without its id.
 """
 
 from __future__ import annotations
@@ -62,11 +63,18 @@ rows AS (
          CASE WHEN ok % 967 = 9 THEN 'talvez'
               WHEN pk % 30 = 0 THEN (CASE WHEN fr THEN '1' ELSE '0' END)
               ELSE (CASE WHEN fr THEN 'True' ELSE 'False' END) END AS is_fraud,
-         CASE WHEN ok % 500 = 3 THEN array(0L, 1000000000L) ELSE array(0L) END AS copies
+         CASE ok % 500
+              WHEN 3 THEN array(named_struct('shift', 0L, 'dated', TRUE),
+                                named_struct('shift', 1000000000L, 'dated', TRUE))
+              WHEN 13 THEN array(named_struct('shift', 0L, 'dated', TRUE),
+                                 named_struct('shift', 0L, 'dated', FALSE))
+              WHEN 23 THEN array(named_struct('shift', 0L, 'dated', TRUE),
+                                 named_struct('shift', CAST(NULL AS BIGINT), 'dated', TRUE))
+              ELSE array(named_struct('shift', 0L, 'dated', TRUE)) END AS copies
   FROM labelled
 )
-SELECT transaction_id + copy AS transaction_id, customer_id, amount, transaction_type, channel,
-       merchant_category, ts AS timestamp, status, risk_score, segment, credit_score, is_fraud
+SELECT transaction_id + copy.shift AS transaction_id, customer_id, amount, transaction_type, channel,
+       merchant_category, IF(copy.dated, ts, NULL) AS timestamp, status, risk_score, segment, credit_score, is_fraud
 FROM rows LATERAL VIEW explode(copies) c AS copy
 """
 
@@ -78,7 +86,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction rows, in the raw file's column layout.
 
-    The planted id copies are exploded from the same row, so the four-table
+    The planted copies are exploded from the same row, so the four-table
     join runs once rather than once per branch of a union.
     """
     names = ("lineitem", "orders", "customer", "part")

@@ -33,16 +33,16 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful jobs.
 
-    The number of state partitions is fixed when a checkpoint is first written,
-    so it is tied to the cores at hand; event times are read as UTC.
+    The number of state partitions is fixed when a checkpoint is first written:
+    size ``partitions`` for the state the job will hold, not for the machines at
+    hand. Without it the session's shuffle partitions count. Event times are UTC.
     """
     session = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * cores)))
+    wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(wanted))
     session.conf.set("spark.sql.session.timeZone", "UTC")
     return session
 
@@ -85,11 +85,11 @@ def landed(events: DataFrame) -> DataFrame:
     return events.withColumn("dia", F.to_date("ts"))
 
 
-def _features_per_window(events: DataFrame, *window: str) -> DataFrame:
+def _per_ten_minutes(events: DataFrame) -> DataFrame:
     bought = F.col("event_type") == "purchase"
     return (
         events.withWatermark("ts", DELAY)
-        .groupBy(F.window("ts", *window).alias("_w"), "user_id")
+        .groupBy(F.window("ts", "10 minutes").alias("_w"), "user_id")
         .agg(
             F.count("*").alias("eventos"),
             F.count_if(bought).alias("compras"),
@@ -97,25 +97,46 @@ def _features_per_window(events: DataFrame, *window: str) -> DataFrame:
                 "centavos_compras"
             ),
         )
-        .select(
-            F.col("_w.start").alias("inicio"),
-            F.col("_w.end").alias("fim"),
-            "user_id",
-            "eventos",
-            "compras",
-            "centavos_compras",
-        )
+    )
+
+
+def _named(windows: DataFrame) -> DataFrame:
+    return windows.select(
+        F.col("_w.start").alias("inicio"),
+        F.col("_w.end").alias("fim"),
+        "user_id",
+        "eventos",
+        "compras",
+        "centavos_compras",
     )
 
 
 def tumbling(events: DataFrame) -> DataFrame:
     """Per-client activity in 10-minute windows."""
-    return _features_per_window(events, "10 minutes")
+    return _named(_per_ten_minutes(events))
 
 
 def sliding(events: DataFrame) -> DataFrame:
-    """Per-client activity of the last hour, refreshed every 10 minutes."""
-    return _features_per_window(events, "1 hour", "10 minutes")
+    """Per-client activity of the last hour, refreshed every 10 minutes.
+
+    An hour adds up six 10-minute windows, so each event is aggregated once.
+    """
+    measures = ("eventos", "compras", "centavos_compras")
+    tens = _per_ten_minutes(events).select(F.window_time("_w").alias("_t"), "user_id", *measures)
+    hours = tens.groupBy(F.window("_t", "1 hour", "10 minutes").alias("_w"), "user_id")
+    return _named(hours.agg(*[F.sum(m).alias(m) for m in measures]))
+
+
+def end_of_feed(spark: SparkSession, last: object, folder: str) -> None:
+    """Append one event two days after the last, which closes every window before it.
+
+    Its own windows stay open and are never written.
+    """
+    end = F.lit(str(last)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(2))
+    row = spark.range(1).select(
+        *[(end if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
+    )
+    row.write.mode("append").parquet(folder)
 
 
 def deduplicated(events: DataFrame) -> DataFrame:

@@ -12,13 +12,12 @@ CHECKS = {"rep_k": Check(("k",), ("v",)), "rep_v": Check(("v",), ("k",))}
 
 def brute(data, key, order):
     """Positions of all rows that are not the first of their group."""
-    low = -(10**9)
     first = {}
     for row in data:
-        rank = (low if row[order] is None else row[order], row[2])
+        rank = (row[order] is None, row[order] or 0, row[2])
         if row[key] not in first or rank < first[row[key]]:
             first[row[key]] = rank
-    keep = {r[1] for r in first.values()}
+    keep = {r[2] for r in first.values()}
     return {row[2] for row in data} - keep
 
 
@@ -60,7 +59,13 @@ def test_hot_null_key_keeps_exactly_one_row(spark):
     assert marks.where("pos = 0").count() == 0
 
 
-def test_broadcast_and_merge_agree(spark):
+def test_rows_with_a_value_come_before_rows_without(spark):
+    """The dated copy of an id and the copy with an id of a content are the ones kept."""
+    data = [(1, None, 0), (1, 7, 1), (None, 5, 2), (4, 5, 3)]
+    assert marks_of(spark, data) == {0: (True, False), 2: (False, True)}
+
+
+def test_marks_join_by_measured_size(spark):
     df = spark.range(200).select(
         (F.col("id") % 150).alias("k"),
         F.lit(1).alias("v"),
@@ -68,8 +73,12 @@ def test_broadcast_and_merge_agree(spark):
     )
     check = {"rep_k": CHECKS["rep_k"]}
     marks = duplicate_marks(df, check, address=("pos",))
-    few = with_marks(df, marks, True, check, ("pos",))
-    many = with_marks(df, marks, False, check, ("pos",))
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().toString()
-    assert "SortMergeJoin" in many._jdf.queryExecution().toString()
-    assert few.where("rep_k").count() == many.where("rep_k").count() == 50
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    counts = set()
+    try:
+        for most in ("10m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            counts.add(with_marks(df, marks, check, ("pos",)).where("rep_k").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert counts == {50}

@@ -2,7 +2,9 @@
 
 import glob
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from risklake.operators.enrich import enrich_customer, orphans
@@ -61,6 +63,33 @@ def test_incremental_pushes_the_mark_down(lake):
     assert incremental(lake.raw, lake.raw.limit(0), "timestamp").count() == lake.raw.count()
 
 
+@pytest.mark.parametrize("zone", ["America/Fortaleza", "Asia/Tokyo"])
+def test_incremental_in_any_process_zone(lake, monkeypatch, zone):
+    """Initial and increment together are the source, with ties at the mark and rows without instant."""
+    instant = F.lit("2000-02-03 11:00:00").cast("timestamp_ntz")
+    rows = lake.raw.withColumn("timestamp", F.when(F.col("transaction_id") % 50 == 0, instant).otherwise(F.col("timestamp")))
+    rows = rows.drop(*MONTHLY)
+    loaded = rows.where((F.col("timestamp") <= instant) & (F.col("transaction_id") % 100 != 0))
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        fresh = incremental(rows, loaded, "timestamp")
+        late = rows.where((F.col("timestamp") > instant) | F.col("timestamp").isNull())
+        tied = rows.where((F.col("timestamp") == instant) & (F.col("transaction_id") % 100 == 0))
+        assert fresh.count() == late.count() + tied.count()
+        assert fresh.exceptAll(late).exceptAll(tied).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_labels_with_months_prune_silver(lake):
+    updated = apply_late_labels(lake.silver, loads.chargebacks(lake, 2001))
+    plan = updated._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "silver" in line]
+    assert scans and all("dynamicpruning" in line for line in scans)
+
+
 def test_compaction_keeps_rows_and_reduces_files(lake):
     report = loads.compacted(lake).collect()
     assert all(r.linhas_antes == r.linhas_depois for r in report)

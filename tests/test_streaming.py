@@ -79,3 +79,14 @@ def test_stream_rules_equal_batch_rules(spark, lake, tmp_path):
     assert checked.count() == lake.raw.count()
     assert checked.where("valida").count() >= lake.bronze.count()
     assert checked.where("motivo LIKE '%duplicata%'").count() == 0
+
+
+def test_end_of_feed_closes_all_windows_in_any_file_order(spark, feed, tmp_path):
+    """Rows in equal rows out: nothing stays open, whatever order the minutes arrive in within a batch."""
+    folder, write = feed
+    write([(1, 50, 7, "view"), (2, 3, 7, "purchase")])
+    write([(3, 41, 8, "view"), (4, 59, 7, "view")])
+    assert drain(spark, folder, tmp_path, jobs.tumbling).count() < 4
+    jobs.end_of_feed(spark, "2024-01-01 00:59:00", folder)
+    rows = drain(spark, folder, tmp_path, jobs.tumbling).collect()
+    assert sum(r.eventos for r in rows) == 4 and len(rows) == 3
