@@ -25,7 +25,7 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
     """
     latest = written(latest_labels(labels), "rotulos")
     dated = {"year", "month"} <= set(latest.columns)
-    there = silver.join(latest.select("year", "month").distinct(), ["year", "month"], "left_semi") if dated else silver
+    there = _in_months(silver, latest) if dated else silver
     touched = there.select("transaction_id", "year", "month").join(latest.select("transaction_id"), "transaction_id")
     months = touched.select("year", "month").distinct()
     columns = [
@@ -37,3 +37,12 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
         .join(latest.select("transaction_id", "_rotulo"), "transaction_id", "left")
         .select(*columns)
     )
+
+
+def _in_months(silver: DataFrame, labels: DataFrame) -> DataFrame:
+    """Silver of the calendar months the labels name, a short list that prunes folders."""
+    named = labels.select("year", "month").distinct().where("year IS NOT NULL AND month IS NOT NULL").collect()
+    wanted = F.lit(False)
+    for r in named:
+        wanted = wanted | ((F.col("year") == r.year) & (F.col("month") == r.month))
+    return silver.where(wanted)
