@@ -27,7 +27,7 @@ OUTSIDE = CLASSES
 SIDES = (-3, -2, -1, 1, 2, 3)
 EMBEDDED, HIDDEN = 16, 32
 ROUNDS, MASK_EVERY = 2, 8
-BATCH, RATE = 512, 0.01
+BATCH, RATE = 256, 0.01
 SEED = 4
 
 

@@ -52,7 +52,7 @@ def test_sums_are_those_of_each_word_alone():
 def test_training_tells_order_from_disorder(spark):
     rng = random.Random(3)
     phrase = "the cat sat on a mat and ran far away".split()
-    texts = [" ".join(phrase * rng.randint(3, 9)) for _ in range(150)]
+    texts = [" ".join(phrase * rng.randint(20, 60)) for _ in range(150)]
     shuffled = []
     for t in texts[:30]:
         w = t.split()
