@@ -161,8 +161,7 @@ def _segments(docs: DataFrame, n: int, sketch: Sketch, wanted: Sketch, fragments
                     schema=schema,
                 )
 
-    cut = by_arrow(_texts(docs), task, "node long, fragment int, tokens array<long>")
-    return cut.groupBy("node", "fragment").agg(F.first("tokens").alias("tokens"))
+    return by_arrow(_texts(docs), task, "node long, fragment int, tokens array<long>")
 
 
 class JaccardJoin:
@@ -192,17 +191,22 @@ class JaccardJoin:
         )
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b, a_size, b_size), those that are similar enough, with their overlap."""
+        """Of the pairs (a, b, a_size, b_size), those that are similar enough, with their overlap.
+
+        A wanted node is cut by the row of its smallest id; should other rows cut it
+        as well, the counts of a fragment are equal and the largest stands for all.
+        """
         up, down = self.share.numerator, self.share.denominator
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         docs = self.members.join(ends, "node", "left_semi").groupBy("node").agg(F.coalesce(F.min("doc"), F.lit(-1)).alias("doc"))
         wanted = marks(docs, "doc", WANTED_WIDTH)
-        cut = kept(_segments(self.docs, self.n, self.sketch, wanted, self.fragments).join(ends, "node", "left_semi"), "segments")
-        one = cut.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("a_tokens"))
+        cut = kept(_segments(self.docs, self.n, self.sketch, wanted, self.fragments), "segments")
+        one = cut.repartition("node", "fragment").select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("a_tokens"))
         two = cut.select(F.col("node").alias("b"), "fragment", F.col("tokens").alias("b_tokens"))
-        partial = pairs.join(one, "a").join(two, ["b", "fragment"]).select(
-            "a", "b", "a_size", "b_size", F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long").alias("part")
-        )
+        each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(self.fragments - 1))))
+        overlap = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
+        partial = one.join(each, ["a", "fragment"]).join(two, ["b", "fragment"])
+        partial = partial.groupBy("a", "b", "a_size", "b_size", "fragment").agg(F.max(overlap).alias("part"))
         total = partial.groupBy("a", "b", "a_size", "b_size").agg(F.sum("part").alias("overlap"))
         fits = F.col("overlap") * (up + down) >= (F.col("a_size") + F.col("b_size")) * up
         out = kept(total.filter(fits).select("a", "b", "overlap"), "links")
@@ -226,11 +230,10 @@ class JaccardJoin:
             F.count("*").alias("n")
         )
         best = common.groupBy("node", "size").agg(F.max(F.struct("n", "to", "to_size")).alias("b"))
+        # The leader, which many nodes may have, is the side that adaptive execution can split.
         return best.select(
-            F.least("node", "b.to").alias("a"), F.greatest("node", "b.to").alias("b"),
-            F.when(F.col("node") < F.col("b.to"), F.col("size")).otherwise(F.col("b.to_size")).alias("a_size"),
-            F.when(F.col("node") < F.col("b.to"), F.col("b.to_size")).otherwise(F.col("size")).alias("b_size"),
-        ).distinct()
+            F.col("node").alias("a"), F.col("b.to").alias("b"), F.col("size").alias("a_size"), F.col("b.to_size").alias("b_size")
+        )
 
     def _labelled(self, labels: DataFrame | None) -> DataFrame:
         if labels is None:
