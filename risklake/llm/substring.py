@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from risklake.llm.scratch import dropped, kept
 from risklake.llm.sketch import Sketch, marks, merged, only
-from risklake.llm.words import Texts, by_arrow, mixed, text_chunks, window_sums
+from risklake.llm.words import by_arrow, mixed, text_chunks, window_sums
 
 WINDOW = 50
 WIDTH, DEPTH = 1 << 24, 2

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from risklake.llm.components import components
 from risklake.llm.scratch import kept
-from risklake.llm.vectors import hash_strings, matrix, planes, signed, unit, usable_vectors
+from risklake.llm.vectors import hash_strings, matrix, planes, signed, usable_vectors, with_units
 
 BITS = 48
 WINDOW = 48
@@ -138,8 +138,7 @@ def near_duplicates(
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     usable = usable_vectors(vectors, vec_id, vector)
     distinct = usable.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    distinct = kept(distinct, "distinct-vectors").withColumn("unit", unit(F.col("vector")))
-    distinct = kept(distinct, "unit-vectors")
+    distinct = kept(with_units(distinct), "distinct-vectors")
     links = None
     for dim, n in distinct.groupBy(F.size("vector").alias("dim")).count().collect():
         rows = distinct.filter(F.size("vector") == dim)

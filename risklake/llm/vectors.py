@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def usable(vector: Column) -> Column:
@@ -46,9 +49,28 @@ def signed(keys: np.ndarray) -> np.ndarray:
     return (keys ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def unit(vector: Column) -> Column:
-    """The vector divided by its length, safe for very large and very small components."""
-    top = F.array_max(F.transform(vector, F.abs))
-    scaled = F.transform(vector, lambda x: x / top)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(scaled, lambda x: x / length)
+def lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    n, d = rows.shape
+    return pa.ListArray.from_arrays(np.arange(0, n * d + 1, d, dtype=np.int32), rows.ravel())
+
+
+def with_units(df: DataFrame) -> DataFrame:
+    """``df`` with ``unit``, its column ``vector`` divided by its length.
+
+    Components are scaled by the largest first, so that very large and very small
+    ones neither overflow nor vanish.
+    """
+    names = df.columns
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column("vector").offsets.to_numpy())
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                rows = matrix(part.column("vector"))
+                rows = rows / np.abs(rows).max(1, keepdims=True)
+                rows = rows / np.sqrt((rows * rows).sum(1, keepdims=True))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists(rows)], names=[*names, "unit"])
+
+    return df.mapInArrow(task, df.select("*").schema.add("unit", T.ArrayType(T.DoubleType())))
