@@ -3,7 +3,7 @@
 from risklake.llm.bpe import op7_bpe
 from risklake.llm.language_model import op4_pseudo_likelihood
 from risklake.llm.mixing import op8_mix_sources
-from risklake.llm.neighbours import op1_nearest
+from risklake.llm.neighbours import OP1_SQL, op1_nearest
 from risklake.llm.quality import op2_quality
 from risklake.llm.shingles import OP3_SQL, op3_jaccard_join
 from risklake.llm.substring import OP6_SQL, op6_substring_dedup
@@ -25,6 +25,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_nearest": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
     "op6_substring_dedup": OP6_SQL,
     "op10_vector_dedup": OP10_SQL,
