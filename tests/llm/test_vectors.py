@@ -3,6 +3,7 @@ from tests.conftest import MEDIUM
 from tests.llm.brute import classes
 
 from pyspark.sql import functions as F
+from risklake.llm import neighbours
 from risklake.llm.neighbours import nearest_neighbours, op1_nearest
 from risklake.llm.vector_dedup import near_duplicates, op10_vector_dedup, passes_needed
 
@@ -141,3 +142,18 @@ def test_nearest_query_has_full_recall_here(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{MEDIUM}/embeddings.parquet").collect()]
     got, wanted = found(op1_nearest(spark, MEDIUM)), brute_nearest(rows, 20)
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in wanted.items()}
+
+
+def test_a_long_vector_does_not_take_neighbours_from_the_others(spark, monkeypatch):
+    """Few candidates wanted, so that blocks are many and most of them empty."""
+    monkeypatch.setattr(neighbours, "wanted_candidates", lambda n, trees, nearest: min(max(n // 10, 42 * trees), 200))
+    rng = np.random.default_rng(12)
+    unit = rng.normal(size=(2000, 16))
+    unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+    unit[7] *= 100
+    rows = [(i, np.float32(v).tolist()) for i, v in enumerate(unit)]
+    got = found(nearest_neighbours(frame(spark, rows), F.col("vec_id") % 20 == 0, trees=4, part_rows=100))
+    wanted = brute_nearest(rows, 20)
+    assert got.keys() == wanted.keys()
+    assert {len(v) for v in got.values()} == {20}
+    assert all(7 in dict(got[q]) for q in wanted if 7 in dict(wanted[q]))
