@@ -157,3 +157,28 @@ def test_a_long_vector_does_not_take_neighbours_from_the_others(spark, monkeypat
     assert got.keys() == wanted.keys()
     assert {len(v) for v in got.values()} == {20}
     assert all(7 in dict(got[q]) for q in wanted if 7 in dict(wanted[q]))
+
+
+def crowd(n, planted, seed=13, dim=64):
+    """A third of the rows in one topic, unlinked among themselves but for planted pairs at a cosine of 0.905."""
+    rng = np.random.default_rng(seed)
+    length = lambda x: x / np.sqrt((x * x).sum(-1, keepdims=True))
+    centre = length(rng.normal(size=dim))
+    away = rng.normal(size=(n // 3, dim))
+    away = length(away - (away @ centre)[:, None] * centre)
+    topic = np.sqrt(0.78) * centre + np.sqrt(0.22) * away
+    aside = rng.normal(size=(planted, dim))
+    aside = length(aside - (aside * topic[:planted]).sum(1, keepdims=True) * topic[:planted])
+    twins = 0.905 * topic[:planted] + np.sqrt(1 - 0.905**2) * aside
+    return np.concatenate([topic, twins, length(rng.normal(size=(n - n // 3 - planted, dim)))])
+
+
+def test_pairs_in_a_crowded_topic_are_found(spark):
+    """Both the prefixes of one task and those dealt into blocks."""
+    rows = [(i, np.float32(v).tolist()) for i, v in enumerate(crowd(6000, 300))]
+    unit = np.array([v for _, v in rows])
+    unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+    wanted = (unit @ unit.T >= 0.9).sum(1) - 1
+    for crowded_rows in (4096, 64):
+        got = {r.vec_id: r.n_links for r in near_duplicates(frame(spark, rows), window=8, crowded_rows=crowded_rows).collect()}
+        assert sum(got[i] != n for i, n in enumerate(wanted)) <= 0.002 * (wanted > 0).sum() + 1
