@@ -3,8 +3,10 @@
 A small network sees three words on each side of a masked word and predicts its
 class: one of the corpus's most frequent words, or for the others one of the
 endings that words share. Tasks train it on the masked words of their documents
-and the job averages their weights, over a few rounds. A document's score is the
-sum of the log probabilities of all its words, each given both sides.
+and the job averages their weights, over a few rounds. A word's probability is that
+of its class, given both sides, times its share of the class in the whole corpus;
+the counts of all words stay a table and are joined to the words of the documents.
+A document's score is the sum of the log probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from risklake.llm.scratch import dropped, kept
 from risklake.llm.words import Texts, by_arrow, mixed, text_chunks
@@ -28,6 +31,7 @@ SIDES = (-3, -2, -1, 1, 2, 3)
 EMBEDDED, HIDDEN = 16, 32
 ROUNDS, MASK_EVERY = 2, 8
 BATCH, RATE = 256, 0.01
+UNITS = float(1 << 32)
 SEED = 4
 
 
@@ -129,8 +133,8 @@ def contexts(texts: Texts, found: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the most frequent words of the whole corpus and the counts of all classes."""
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """Hashes of the most frequent words of the whole corpus, the counts of all classes, and all words' counts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.uint64)
@@ -147,7 +151,6 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts = kept(rows.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n")), "word-counts")
     top = counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow()
     by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n")).toArrow()
-    dropped(counts)
     hashes, n = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(hashes)
     class_counts = np.zeros(CLASSES)
@@ -158,7 +161,7 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         taken[ending] += count
     for ending, count in taken.items():
         class_counts[ending] -= count
-    return hashes[order], class_counts
+    return hashes[order], class_counts, counts
 
 
 def _round(docs: DataFrame, network: Network, frequent: np.ndarray, number: int) -> Network:
@@ -189,13 +192,25 @@ def _round(docs: DataFrame, network: Network, frequent: np.ndarray, number: int)
     return network.filled(mean["value"].to_numpy()) if len(mean) else network
 
 
-def fitted(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Network, np.ndarray]:
-    """The network trained over all documents (a binary column ``text``) and the frequent words."""
-    frequent, class_counts = _frequent(docs)
+def fitted(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Network, np.ndarray, DataFrame]:
+    """The network trained over all documents (a binary column ``text``), the frequent words and all words' counts."""
+    frequent, class_counts, counts = _frequent(docs)
     network = Network.fresh(class_counts)
     for number in range(rounds):
         network = _round(docs, network, frequent, number)
-    return network, frequent
+    return network, frequent, counts
+
+
+def _within_class(counts: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Log share of each word in its class, in units of 1 / ``UNITS``: (word, log_share).
+
+    Frequent words are classes of their own and have no row. The documents scored are
+    those counted, so that no word is unseen.
+    """
+    own = [int(x) for x in frequent.view(np.int64)]
+    rare = counts.filter(~F.col("word").isin(own)) if own else counts
+    sizes = F.broadcast(rare.groupBy("ending").agg(F.sum("n").alias("every")))  # a row per ending
+    return rare.join(sizes, "ending").select("word", F.round(F.log(F.col("n") / F.col("every")) * UNITS).cast("long").alias("log_share"))
 
 
 def scored(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -208,7 +223,9 @@ def scored(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFra
     results = ("n_tokens", "pseudo_log_likelihood", "mean_log_likelihood")
     others = [c for c in docs.columns if c not in (text, *results)]
     given = docs.select(*others, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_lm_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(given.select(F.col("_lm_text").alias("text")), rounds))
+    network, frequent, counts = fitted(given.select(F.col("_lm_text").alias("text")), rounds)
+    shared = docs.sparkSession.sparkContext.broadcast((network, frequent))
+    names = [*others, "_lm_n", "_lm_sum", "_lm_words", "_lm_times"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches, "_lm_text", lower=True):
@@ -218,15 +235,34 @@ def scored(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFra
             for a in range(0, len(found), 4096):
                 at = np.arange(a, min(a + 4096, len(found)))
                 logs[at] = network.log_chances(contexts(texts, found, at), found[at])
-            counts = texts.counts()
             sums = np.diff(np.append(0.0, np.cumsum(logs))[texts.first])
-            mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
+            words, times = [], []
+            for a, b in zip(texts.first[:-1].tolist(), texts.first[1:].tolist(), strict=True):
+                rare = texts.hashes[a:b][found[a:b] >= FREQUENT]
+                kinds, n = np.unique(rare, return_counts=True)
+                words.append(kinds.view(np.int64))
+                times.append(n.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in others), pa.array(counts, pa.int64()), pa.array(sums), mean], names=[*others, *results]
-            )
-
-    schema = docs.select(*others).schema.add("n_tokens", "long")
-    return by_arrow(given, task, schema.add(results[1], "double").add(results[2], "double"))
+                [*(part.column(c) for c in others), pa.array(texts.counts(), pa.int64()), pa.array(sums),
+                 pa.array(words, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
+                names=names,
+            )
+
+    schema = docs.select(*others).schema.add("_lm_n", "long").add("_lm_sum", "double")
+    rows = by_arrow(given, task, schema.add("_lm_words", T.ArrayType(T.LongType())).add("_lm_times", T.ArrayType(T.IntegerType())))
+    rows = kept(rows.withColumn("_lm_row", F.monotonically_increasing_id()), "lm-rows")
+    shares = kept(_within_class(counts, frequent), "lm-shares")
+    dropped(counts)
+    pairs = rows.select("_lm_row", F.explode(F.arrays_zip("_lm_words", "_lm_times")).alias("w")).select(
+        "_lm_row", F.col("w._lm_words").alias("word"), F.col("w._lm_times").alias("times")
+    )
+    # Whole units add up to the same sum in any order.
+    within = pairs.join(shares, "word").groupBy("_lm_row").agg(F.sum(F.col("log_share") * F.col("times")).alias("_lm_within"))
+    total = F.col("_lm_sum") + F.coalesce("_lm_within", F.lit(0)) / UNITS
+    return rows.drop("_lm_words", "_lm_times").join(within, "_lm_row", "left").select(
+        *others, F.col("_lm_n").alias(results[0]), total.alias(results[1]),
+        F.when(F.col("_lm_n") > 0, total / F.col("_lm_n")).alias(results[2]),
+    )
 
 
 def op4_pseudo_likelihood(spark, sf_dir: str) -> DataFrame:

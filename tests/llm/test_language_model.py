@@ -80,3 +80,12 @@ def test_query(spark):
     rows = op4_pseudo_likelihood(spark, SMALL).collect()
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     assert {r.doc_id: r.n_tokens for r in rows} == {i: len(words(t)) for i, t in docs.items()}
+
+
+def test_a_rare_word_costs_more_than_a_common_one_of_its_ending(spark):
+    """Both stand between the same words, outside the frequent ones, and end alike."""
+    filler = [f"w{i:03d}x" for i in range(230)]
+    texts = [" ".join(filler * 6)] * 3 + ["left common right " * 8, "left zqjxmon right " * 1 + "left common right " * 7]
+    of = {r.doc_id: r.pseudo_log_likelihood for r in scored(documents(spark, texts).select("doc_id", "text")).collect()}
+    n = {w: 15 for w in ("common",)} | {"zqjxmon": 1}
+    assert abs((of[3] - of[4]) - np.log(n["common"] / n["zqjxmon"])) < 1e-3
