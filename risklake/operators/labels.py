@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.session import written
@@ -10,10 +10,7 @@ from risklake.session import written
 
 def latest_labels(labels: DataFrame) -> DataFrame:
     """The most recent label per transaction; corrections may follow each other."""
-    month = [F.first(c).alias(c) for c in ("year", "month") if c in labels.columns]
-    return labels.groupBy("transaction_id").agg(
-        F.max_by("is_fraud", "rotulado_em").alias("_rotulo"), *month
-    )
+    return labels.groupBy("transaction_id").agg(F.max_by("is_fraud", "rotulado_em").alias("_rotulo"))
 
 
 def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
@@ -21,11 +18,12 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
 
     The result feeds a dynamic partition overwrite, so months without a changed
     label are not rewritten. Labels that carry the year and month of their
-    transaction also prune every read of Silver to those months.
+    transaction prune the reads of Silver to those months; only labels that found no
+    row there, or name no month, are looked up in the rest by id.
     """
     latest = written(latest_labels(labels), "rotulos")
-    dated = {"year", "month"} <= set(latest.columns)
-    there = _in_months(silver, latest) if dated else silver
+    dated = {"year", "month"} <= set(labels.columns)
+    there = silver.where(_found_months(silver, labels, latest)) if dated else silver
     touched = there.select("transaction_id", "year", "month").join(latest.select("transaction_id"), "transaction_id")
     months = touched.select("year", "month").distinct()
     columns = [
@@ -39,10 +37,17 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _in_months(silver: DataFrame, labels: DataFrame) -> DataFrame:
-    """Silver of the calendar months the labels name, a short list that prunes folders."""
-    named = labels.select("year", "month").distinct().where("year IS NOT NULL AND month IS NOT NULL").collect()
+def _found_months(silver: DataFrame, labels: DataFrame, latest: DataFrame) -> Column:
+    """Condition on the calendar months that hold rows of the labels, a short list that prunes folders."""
+    named = _in_months(labels.select("year", "month"))
+    near = silver.where(named).select("transaction_id")
+    lost = latest.select("transaction_id").join(near, "transaction_id", "left_anti")
+    rest = silver.where(~named).join(lost, "transaction_id", "left_semi") if not lost.isEmpty() else None
+    return named if rest is None else named | _in_months(rest.select("year", "month"))
+
+
+def _in_months(dates: DataFrame) -> Column:
     wanted = F.lit(False)
-    for r in named:
+    for r in dates.distinct().where("year IS NOT NULL AND month IS NOT NULL").collect():
         wanted = wanted | ((F.col("year") == r.year) & (F.col("month") == r.month))
-    return silver.where(wanted)
+    return wanted
