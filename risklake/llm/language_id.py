@@ -35,7 +35,7 @@ EDGE = " "
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in small letters."""
+    """Runs of letters, and of number signs that are no digits, in small letters."""
     return WORD.findall((text or "").lower())
 
 
@@ -113,7 +113,7 @@ class Languages:
         return total
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log likelihood by language of each text, and its number of words."""
+        """Log likelihood by language of each text, and whether it holds a letter."""
         known = self.rows[0]
         if len(self.cache) > KEPT_WORDS:
             self.cache = {}
@@ -155,16 +155,17 @@ class Languages:
             at = (rows >= low) & (rows < high)
             values[at] = source[rows[at] - low]
         sums = np.concatenate([np.zeros((1, len(self.names))), np.cumsum(values, 0)])
-        return np.diff(sums[np.append(0, np.cumsum(counts))], axis=0), counts
+        lettered = np.array([any(c.isalpha() for w in per_text for c in w) for per_text in words], bool)
+        return np.diff(sums[np.append(0, np.cumsum(counts))], axis=0), lettered
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and its probability; undetermined, at 0, without words."""
-        found, counts = self.scores(texts)
+        """Language and its probability; undetermined, at 0, without a letter."""
+        found, lettered = self.scores(texts)
         found = found + self.prior
         best = found.argmax(1)
         chance = 1 / np.exp(found - found[np.arange(len(best)), best][:, None]).sum(1)
-        named = [self.names[k] if n else UNDETERMINED for k, n in zip(best, counts, strict=True)]
-        return named, np.where(counts > 0, np.minimum(chance, 1.0), 0.0)
+        named = [self.names[k] if known else UNDETERMINED for k, known in zip(best, lettered, strict=True)]
+        return named, np.where(lettered, np.minimum(chance, 1.0), 0.0)
 
 
 def _most(counts: DataFrame, order: Column, most: int) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risklake.llm.scratch import dropped, kept
@@ -28,10 +28,6 @@ from risklake.llm.words import by_arrow
 #: Letters and digits of ASCII and every byte of other characters.
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 BEST = 10
-#: A shard ends at so many documents or postings; a bundle holds so many items.
-SHARD_DOCUMENTS, SHARD_POSTINGS, BUNDLE_ITEMS = 4096, 1 << 20, 256
-#: Term occurrences of the items that are searched in one pass over the documents.
-PASS_TERMS = 1_000_000
 #: An owner takes the terms held by less than this share of the documents; the last one the rest.
 OWNER_SHARES = (1 / 256, 1 / 16)
 
@@ -41,6 +37,19 @@ _BUNDLES = "bundle int, shard long, item int, docs array<int>, scores array<long
 _FOUND = "item int, doc_id long, score long"
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """What is held together; none changes the result."""
+
+    #: A shard ends at so many documents or postings.
+    shard_documents: int = 4096
+    shard_postings: int = 1 << 20
+    #: Items that travel together.
+    bundle_items: int = 256
+    #: Distinct terms of items, one for each item that has it, searched in one pass over the documents.
+    pass_terms: int = 1_000_000
+
+
 def _terms(text: bytes | None) -> list[bytes]:
     return TERM.findall((text or b"").lower())
 
@@ -89,9 +98,10 @@ class Queries:
     item: np.ndarray
     term: np.ndarray
     times: np.ndarray
+    bundle_items: int
 
     @classmethod
-    def of(cls, rows: pa.Table) -> Queries:
+    def of(cls, rows: pa.Table, bundle_items: int) -> Queries:
         ids, terms = rows["item_id"].to_pylist(), rows["term"].to_pylist()
         numbers = {i: k for k, i in enumerate(dict.fromkeys(ids))}
         known = {t: k for k, t in enumerate(sorted(set(terms)))}
@@ -99,10 +109,10 @@ class Queries:
         order = np.argsort(item, kind="stable")
         term = np.array([known[t] for t in terms], np.int64)
         times = rows["times"].to_numpy().astype(np.int64)
-        return cls(list(numbers), list(known), item[order], term[order], times[order])
+        return cls(list(numbers), list(known), item[order], term[order], times[order], bundle_items)
 
 
-def _sharded(docs: DataFrame, terms: list[bytes]) -> DataFrame:
+def _sharded(docs: DataFrame, terms: list[bytes], sizes: Sizes) -> DataFrame:
     """Documents with at least one term, dealt into shards, and their postings of the asked terms."""
     shared = docs.sparkSession.sparkContext.broadcast({t: k for k, t in enumerate(terms)})
 
@@ -116,7 +126,7 @@ def _sharded(docs: DataFrame, terms: list[bytes]) -> DataFrame:
                 if not counts:
                     continue
                 hits = [t for t in counts if t in known]
-                if docs_in and (docs_in == SHARD_DOCUMENTS or held + len(hits) > SHARD_POSTINGS):
+                if docs_in and (docs_in == sizes.shard_documents or held + len(hits) > sizes.shard_postings):
                     block, docs_in, held = block + 1, 0, 0
                 rows.append((
                     i, (part << 32) + block, docs_in, counts.total(),
@@ -185,12 +195,10 @@ class Owners:
 
 def _bundles(queries: Queries) -> list[np.ndarray]:
     """For each bundle of items, which terms it asks for."""
-    out = []
-    for first in range(0, len(queries.ids), BUNDLE_ITEMS):
-        asked = np.zeros(len(queries.terms), bool)
-        asked[queries.term[queries.item // BUNDLE_ITEMS == first // BUNDLE_ITEMS]] = True
-        out.append(asked)
-    return out
+    bundle = queries.item // queries.bundle_items
+    out = np.zeros((-(-len(queries.ids) // queries.bundle_items), len(queries.terms)), bool)
+    out[bundle, queries.term] = True
+    return list(out)
 
 
 def _added(bundle: int, carried: pa.Table, slices: pa.Table, queries: Queries) -> Iterator[tuple[int, np.ndarray]]:
@@ -205,10 +213,11 @@ def _added(bundle: int, carried: pa.Table, slices: pa.Table, queries: Queries) -
     size = 1 + int(max(doc.max(initial=-1), docs.max(initial=-1)))
     came = {int(i): k for k, i in enumerate(carried["item"].to_numpy())}
     starts = np.searchsorted(owner, np.arange(len(came) + 1))
-    last = min((bundle + 1) * BUNDLE_ITEMS, len(queries.ids))
-    bounds = np.searchsorted(queries.item, np.arange(bundle * BUNDLE_ITEMS, last + 1))
+    start = bundle * queries.bundle_items
+    last = min(start + queries.bundle_items, len(queries.ids))
+    bounds = np.searchsorted(queries.item, np.arange(start, last + 1))
     first, end = (np.searchsorted(term, queries.term, side=s) for s in ("left", "right"))
-    for item, a, b in zip(range(bundle * BUNDLE_ITEMS, last), bounds[:-1], bounds[1:], strict=True):
+    for item, a, b in zip(range(start, last), bounds[:-1], bounds[1:], strict=True):
         total = np.zeros(size, np.int64)
         if item in came:
             lo, hi = starts[came[item]], starts[came[item] + 1]
@@ -219,7 +228,7 @@ def _added(bundle: int, carried: pa.Table, slices: pa.Table, queries: Queries) -
         yield item, total
 
 
-def searched(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
+def searched(docs: DataFrame, items: DataFrame, best: int = BEST, sizes: Sizes = Sizes()) -> DataFrame:
     """The ``best`` documents with a score above 0 of every item: item_id, rank, doc_id, score.
 
     Terms are maximal runs of ASCII letters and digits and of all characters beyond
@@ -229,21 +238,21 @@ def searched(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
     terms: such documents do not count, such items have no rows. Empty tables give no
     rows. Needs doc_id and text, and item_id and text; other columns are ignored.
 
-    Items are searched in passes of at most PASS_TERMS term occurrences, or one longer
-    item; terms and weights of a pass are broadcast, postings and accumulators shuffled.
+    Items are searched in passes of about ``sizes.pass_terms`` terms; terms and weights
+    of a pass are broadcast, postings and accumulators shuffled.
     """
     spark = docs.sparkSession
     terms = kept(item_terms(items), "lexical-terms")
     kind = terms.schema["item_id"].dataType.simpleString()
     total = terms.count()
-    passes = -(-total // PASS_TERMS)
+    passes = -(-total // sizes.pass_terms)
     found = spark.createDataFrame([], f"item_id {kind}, doc_id long, score long")
     written = []
     for k in range(passes):
         mine = terms.filter(F.pmod(F.xxhash64("item_id", F.lit("pass")), F.lit(passes)) == k)
-        queries = Queries.of(mine.toArrow())
+        queries = Queries.of(mine.toArrow(), sizes.bundle_items)
         if queries.ids:
-            written.append(_one_pass(spark, docs, queries, best, kind))
+            written.append(_one_pass(docs, queries, best, kind, sizes))
             found = found.unionByName(written[-1])
     by_rank = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     out = kept(
@@ -255,8 +264,9 @@ def searched(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
     return out
 
 
-def _one_pass(spark: SparkSession, docs: DataFrame, queries: Queries, best: int, kind: str) -> DataFrame:
-    shards = _sharded(docs, queries.terms)
+def _one_pass(docs: DataFrame, queries: Queries, best: int, kind: str, sizes: Sizes) -> DataFrame:
+    spark = docs.sparkSession
+    shards = _sharded(docs, queries.terms, sizes)
     corpus = shards.agg(F.count("*"), F.sum("n")).first()
     n_docs, n_terms = corpus[0], corpus[1] or 0
     held = shards.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
