@@ -49,6 +49,9 @@ N_CONTENT = N_KINDS * N_KINDS + 5
 N_HASHED = 64
 N_METADATA = 2 * N_HASHED + 8
 
+#: Rows held as doubles at once on the driver.
+FIT_ROWS = 2048
+
 
 def content_view(texts: Texts) -> np.ndarray:
     """Shares of the byte-kind transitions, and figures of the words, one row per text."""
@@ -105,27 +108,34 @@ class Logistic:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def _design(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
+        z = np.clip((x.astype(np.float64) - self.mean) / self.scale, -8, 8)
         return np.concatenate([z, np.ones((len(x), 1))], 1)
 
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 15) -> Logistic:
-        x = x.astype(np.float64)
-        self.mean, self.scale = x.mean(0), x.std(0)
+        """Newton's method; rows pass in blocks, so that no second copy of them is held."""
+        self.mean, self.scale = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64)
         self.scale = np.where(self.scale > 1e-6, self.scale, 1.0)
-        design = self._design(x)
-        self.weights = np.zeros(design.shape[1])
+        size = x.shape[1] + 1
+        self.weights = np.zeros(size)
         hold = np.append(np.full(x.shape[1], self.penalty), 1e-6)
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
-            curve = (design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design + np.diag(hold)
-            step = np.linalg.solve(curve, design.T @ (y - p) - hold * self.weights)
+            curve, slope = np.diag(hold), -hold * self.weights
+            for at in range(0, len(x), FIT_ROWS):
+                design = self._design(x[at : at + FIT_ROWS])
+                p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
+                curve += (design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design
+                slope += design.T @ (y[at : at + FIT_ROWS] - p)
+            step = np.linalg.solve(curve, slope)
             self.weights += step
             if np.abs(step).max() < 1e-6:
                 break
         return self
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(self._design(x.astype(np.float64)) @ self.weights, -30, 30)
+        found = np.zeros(len(x))
+        for at in range(0, len(x), FIT_ROWS):
+            found[at : at + FIT_ROWS] = self._design(x[at : at + FIT_ROWS]) @ self.weights
+        return np.clip(found, -30, 30)
 
 
 @dataclass

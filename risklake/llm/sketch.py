@@ -1,7 +1,6 @@
-"""Count sketches of fixed size: one per task, merged by block, broadcast once.
+"""Count sketches of a given size: one per task, merged by block, broadcast once.
 
-The size is a parameter and does not depend on the data. An estimate is never
-below the true count (up to the highest a counter holds). More data only raises
+An estimate is never below the true count (up to the highest a counter holds). More data only raises
 the estimates.
 """
 
@@ -58,6 +57,60 @@ class Sketch:
         part[:] = np.minimum(part.astype(np.int64) + more, top).astype(self.kind)
 
 
+class SmallSketch(Sketch):
+    """Counters up to 3 in two bits each, for telling one from more; width is 4 at least."""
+
+    def __init__(self, width: int, depth: int = 1):
+        super().__init__(4, 1)
+        self.width, self.depth = width, depth
+        self.cells = np.zeros(width * depth // 4, np.uint8)
+
+    def _read(self, at: np.ndarray) -> np.ndarray:
+        return (self.cells[at >> 2] >> ((at & 3) * 2).astype(np.uint8)) & 3
+
+    def add(self, hashes: np.ndarray) -> None:
+        for row in range(self.depth):
+            at, n = np.unique(self._cells_of(hashes, row), return_counts=True)
+            have = self._read(at)
+            more = np.minimum(have + n, 3).astype(np.uint8) - have
+            # Cells are distinct and no field passes 3, so bytes do not overflow.
+            np.add.at(self.cells, at >> 2, more << ((at & 3) * 2).astype(np.uint8))
+
+    def estimate(self, hashes: np.ndarray) -> np.ndarray:
+        found = self._read(self._cells_of(hashes, 0))
+        for row in range(1, self.depth):
+            found = np.minimum(found, self._read(self._cells_of(hashes, row)))
+        return found
+
+    def add_block(self, k: int, data: bytes) -> None:
+        size = min(BLOCK, len(self.cells))
+        part, more = self.cells[k * size : (k + 1) * size], np.frombuffer(zlib.decompress(data), np.uint8)
+        sums = np.zeros_like(part)
+        for shift in (0, 2, 4, 6):
+            sums |= np.minimum(((part >> shift) & 3) + ((more >> shift) & 3), 3) << shift
+        part[:] = sums
+
+
+def merged_small(parts: DataFrame, width: int, depth: int) -> SmallSketch:
+    """One sketch of two-bit counters from the rows (block, cells) of all tasks."""
+    size = min(4 * BLOCK, width * depth)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, SmallSketch] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("block").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+                sums.setdefault(k, SmallSketch(size)).add_block(0, data)
+        for k, s in sums.items():
+            cells = pa.array([zlib.compress(s.cells.tobytes(), 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), cells], names=["block", "cells"])
+
+    rows = parts.select("block", "cells").repartition("block").mapInArrow(total, "block int, cells binary")
+    out = SmallSketch(width, depth)
+    for row in rows.toLocalIterator():
+        out.add_block(row["block"], bytes(row["cells"]))
+    return out
+
+
 def merged(parts: DataFrame, width: int, depth: int = 1, kind: str = "uint8") -> Sketch:
     """One sketch from the rows (block, cells) of all tasks.
 

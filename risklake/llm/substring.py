@@ -3,8 +3,9 @@
 A window is 50 consecutive words. Its anchor is the smallest hash among the
 26-word runs it starts with, ends with and holds between: equal windows have equal
 anchors, and neighbouring windows mostly share one, so about one anchor stands for
-13 windows. Tasks count anchors, once in a document, in sketches of fixed size;
-the merged count of a window's anchor is never below the number of documents with
+13 windows. Tasks count anchors, once in a document, in sketches whose size follows
+from the bytes of the texts; beyond a stated size the anchors are counted in several
+passes, each over a part of them by hash. The merged count of a window's anchor is never below the number of documents with
 that window. The second pass groups what is estimated in two documents or more
 exactly: first the anchors, then the windows that hold a repeated anchor, by 96
 bits of hash. The first document of a group of windows keeps it.
@@ -25,11 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.llm.scratch import dropped, kept
-from risklake.llm.sketch import Sketch, marks, merged, only
+from risklake.llm.sketch import Sketch, SmallSketch, marks, merged_small, only
 from risklake.llm.words import by_arrow, mixed, text_chunks, window_sums
 
 WINDOW = 50
-WIDTH, DEPTH = 1 << 24, 2
+#: Rows of the sketch, cells in a row for each anchor expected, and texts' bytes for an anchor.
+DEPTH, CELLS_FOR_ANCHOR, BYTES_FOR_ANCHOR = 3, 4, 78
+#: Cells in a row of one pass, of two bits each (384 MB in all rows).
+MOST_WIDTH = 1 << 29
 #: Bound of each of two rows of marks for repeated anchors; beyond it marks tell less apart.
 MOST_CELLS = 1 << 25
 RESULTS = ("n_words", "n_removed", "kept")
@@ -73,14 +77,26 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _surveyed(docs: DataFrame, window: int, width: int, depth: int) -> DataFrame:
+def _part(hashes: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """The anchors of one pass."""
+    return hashes if parts == 1 else hashes[hashes % np.uint64(parts) == part]
+
+
+def _sized(docs: DataFrame) -> tuple[int, int]:
+    """Width of the sketch and number of passes for texts of this size."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    wanted = 1 << max(18, (CELLS_FOR_ANCHOR * size // BYTES_FOR_ANCHOR).bit_length())
+    return min(wanted, MOST_WIDTH), max(1, wanted // MOST_WIDTH)
+
+
+def _surveyed(docs: DataFrame, window: int, width: int, depth: int, number: int, parts: int) -> DataFrame:
     """Per document its word count and a digest of its words; per task the blocks of its sketch."""
     schema = pa.schema(
         [("doc", pa.int64()), ("tag", pa.int32()), ("n_words", pa.int64()), ("digest", pa.binary()), ("block", pa.int32()), ("cells", pa.binary())]
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = Sketch(width, depth), {}
+        sketch, seen = SmallSketch(width, depth), {}
         for part, texts in text_chunks(batches, "text"):
             ids, counts = part.column("doc").to_pylist(), texts.counts().tolist()
             digests, found = [], []
@@ -90,7 +106,7 @@ def _surveyed(docs: DataFrame, window: int, width: int, depth: int) -> DataFrame
                 if doc is None or len(words) < window:
                     continue
                 if _first_of_its_text(seen, int.from_bytes(digests[-1][:8], "little"), doc):
-                    found.append(np.unique(anchors(words, window)))
+                    found.append(_part(np.unique(anchors(words, window)), number, parts))
             if found:
                 sketch.add(np.concatenate(found))
             none = pa.nulls(len(ids))
@@ -119,7 +135,9 @@ def _marked(docs: DataFrame, marked: Sketch) -> DataFrame:
     return by_arrow(docs, task, "doc long, text binary, tag int")
 
 
-def _anchors(docs: DataFrame, sketch: Sketch, skipped: Sketch | None, window: int) -> DataFrame:
+def _anchors(
+    docs: DataFrame, sketch: Sketch, skipped: Sketch | None, window: int, number: int, parts: int
+) -> DataFrame:
     """Anchors estimated in two documents or more: (anchor, doc)."""
     shared = docs.sparkSession.sparkContext.broadcast((sketch, skipped))
 
@@ -128,7 +146,7 @@ def _anchors(docs: DataFrame, sketch: Sketch, skipped: Sketch | None, window: in
         for words in _long_documents(batches, window, skipped):
             rows = []
             for doc, _, hashes in words:
-                found = np.unique(anchors(hashes, window))
+                found = _part(np.unique(anchors(hashes, window)), number, parts)
                 found = found[sketch.estimate(found) >= 2]
                 rows.append((found.view(np.int64), np.full(len(found), doc)))
             if rows:
@@ -170,7 +188,7 @@ def _long_documents(batches: Iterator[pa.RecordBatch], window: int, skipped: Ske
 
 def repeated_windows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    window: int = WINDOW, width: int = WIDTH, depth: int = DEPTH,
+    window: int = WINDOW, size: tuple[int, int] | None = None, depth: int = DEPTH,
 ) -> DataFrame:
     """Per document with something to remove: doc, tag of its text, and ``cut``.
 
@@ -178,8 +196,9 @@ def repeated_windows(
     smaller id, NULL where the whole text is the words of such a document.
     """
     rows = _documents(docs, doc_id, text)
-    survey = kept(_surveyed(rows, window, width, depth), "survey")
-    sketch = merged(only(survey, True), width, depth)
+    width, parts = size or _sized(rows)
+    survey = kept(_surveyed(rows, window, width, depth, 0, parts), "survey")
+    sketch = merged_small(only(survey, True), width, depth)
     long = only(survey, False).filter((F.col("n_words") >= window) & F.col("doc").isNotNull())
     lead = long.groupBy("digest").agg(F.min("doc").alias("lead"))
     copies = kept(long.join(lead, "digest").filter("doc > lead").select("doc", "tag").distinct(), "copies")
@@ -188,11 +207,16 @@ def repeated_windows(
     skipped = marks(copies, "doc", _cells(copies), 2)
     again = kept(_marked(rows, skipped).join(copies, ["doc", "tag"], "left_anti"), "marked")
     passes = ((rows, skipped), (again.select(*rows.columns), None))
-    shared = kept(
-        _union(_anchors(r, sketch, skip, window) for r, skip in passes)
-        .groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor"),
-        "anchors",
-    )
+    found = []
+    for number in range(parts):
+        if number:
+            more = kept(only(_surveyed(rows, window, width, depth, number, parts), True), "survey")
+            sketch = merged_small(more, width, depth)
+            dropped(more)
+        estimated = _union(_anchors(r, sketch, skip, window, number, parts) for r, skip in passes)
+        ends = estimated.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+        found.append(kept(ends.filter("lo < hi").select("anchor"), "anchors"))
+    shared = _union(found)
     repeated = marks(shared, "anchor", _cells(shared), 2)
     suspects = kept(_union(_suspects(r, repeated, skip, window) for r, skip in passes), "suspects")
     first = suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -203,7 +227,7 @@ def repeated_windows(
         .agg(F.sort_array(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int"))).alias("cut"))
     )
     out = kept(cut.unionByName(copies.withColumn("cut", F.lit(None).cast("array<int>"))), "cuts")
-    dropped(survey, copies, again, shared, suspects, first)
+    dropped(survey, copies, again, *found, suspects, first)
     return out
 
 
@@ -218,7 +242,7 @@ def _union(parts: Iterator[DataFrame]) -> DataFrame:
 
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    window: int = WINDOW, width: int = WIDTH, depth: int = DEPTH,
+    window: int = WINDOW, size: tuple[int, int] | None = None, depth: int = DEPTH,
 ) -> DataFrame:
     """``docs`` with n_words, n_removed and ``kept``, the words left joined by one space.
 
@@ -226,10 +250,12 @@ def without_repeats(
     with a smaller id; all windows are those of the input. NULL texts have no
     words. Rows without id neither lose words nor make others lose them. Rows that
     share an id are judged each by its own text, and not against one another. An
+    ``size`` fixes the cells in a row of the sketch and the number of passes, which
+    else follow from the data; the result does not depend on them. An
     empty table has an empty result; columns of ``docs`` named like a result are
     replaced, all others stay.
     """
-    cuts = repeated_windows(docs, doc_id, text, window, width, depth).select(
+    cuts = repeated_windows(docs, doc_id, text, window, size, depth).select(
         F.col("doc").alias("_sub_doc"), F.col("tag").alias("_sub_tag"), F.lit(True).alias("_sub_any"),
         F.col("cut").alias("_sub_cut"),
     )

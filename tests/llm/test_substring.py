@@ -57,7 +57,8 @@ def test_small_sketch_loses_nothing(spark):
     """With a sketch so full that every estimate is high, the exact pass decides alone."""
     rng = random.Random(6)
     texts = [" ".join(f"w{rng.randint(0, 3)}" for _ in range(rng.randint(0, 40))) for _ in range(80)]
-    compared(spark, texts, list(range(80)), window=6, width=64, depth=1)
+    compared(spark, texts, list(range(80)), window=6, size=(64, 1), depth=1)
+    compared(spark, texts, list(range(80)), window=6, size=(64, 3))
 
 
 def test_one_id_with_several_texts(spark):
