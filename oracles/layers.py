@@ -104,6 +104,16 @@ LAYER_ORACLES = {
            UNION ALL
            SELECT transaction_id, 'credit_score', 'n/d' FROM raw_tx WHERE transaction_id % 503 = 0""",
     ),
+    "raw_multiline": over(
+        "raw",
+        """SELECT transaction_id, CASE WHEN transaction_id % 97 = 0 THEN CONCAT('a,"b"', CHR(10), ',"c,', CHR(10), segment)
+             ELSE segment END AS segment, credit_score, is_fraud FROM raw_tx""",
+    ),
+    "raw_multiline_rejects": over(
+        "raw",
+        """SELECT transaction_id, 'credit_score' AS coluna, 'n/d' AS valor FROM raw_tx
+           WHERE transaction_id % 701 = 0""",
+    ),
     "landing_reconcile": over(
         "raw",
         "SELECT COUNT(*) AS linhas_origem, COUNT(*) AS linhas_destino, TRUE AS integro FROM raw_tx",
@@ -116,6 +126,11 @@ LAYER_ORACLES = {
         f"""SELECT {_YM}, COUNT(*) AS linhas FROM raw_tx
             WHERE "timestamp" >= TIMESTAMP '1998-03-01' AND "timestamp" < TIMESTAMP '1998-04-01' GROUP BY ALL""",
     ),
+    "pruning_evidence": over(
+        "raw",
+        """SELECT COUNT(*) AS linhas, CAST(0 AS BIGINT) AS arquivos_de_outros_meses, TRUE AS leu_menos_arquivos FROM raw_tx
+           WHERE "timestamp" >= TIMESTAMP '1998-03-01' AND "timestamp" < TIMESTAMP '1998-04-01'""",
+    ),
     "schema_report": over("silver", _SCHEMA),
     "row_funnel": over("gold", _FUNNEL),
     "incremental_load": over(

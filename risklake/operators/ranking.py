@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,66 +121,77 @@ def capture_top(
     id_: str,
     label: str,
     fractions: Sequence[float] = (0.05, 0.10, 0.20),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Frauds caught when reviewing the top fractions by score.
+    """Frauds caught when reviewing the top fractions by score, of all rows or of each group.
 
     Reviewed rows are the k = n x fraction highest scores (half-even rounding),
     ties broken by ascending id; n counts all rows, and those without a score come
     last. A fraction too small for one row is reported with none. Scores above the
     cut are settled on the score histogram; only the rows tied at a cut score are
-    ordered by id. One row per fraction is broadcast.
+    ordered by id. Groups are few (months, say); each has one cut per fraction, found on
+    its histogram, and a group of any size is spread over many partitions.
     """
+    by = list(by)
     lowest = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
-    df = df.withColumn(score, lowest)
+    df = df.withColumn(score, lowest).withColumn("_s", F.lit(1))
+    group = ["_s", *by]
     hist = written(
-        df.groupBy(score)
+        df.groupBy(*group, score)
         .agg(F.count("*").alias("n"), F.count_if(F.col(label)).alias("f")),
         "histograma",
     )
     ranked = running_total(
-        hist.select(F.lit(1).alias("_s"), score, (-F.col(score)).alias("_desc"), "n", "f"),
-        ["_s"],
-        "_desc",
-        ["n", "f"],
+        hist.select(*group, score, (-F.col(score)).alias("_desc"), "n", "f"), group, "_desc", ["n", "f"]
     )
-    rows = hist.agg(F.sum("n").alias("v")).scalar()
-    frauds = hist.agg(F.sum("f").alias("v")).scalar()
-    fatias = F.array(*[F.lit(float(x)) for x in fractions])
+    totals = hist.groupBy(*group).agg(F.sum("n").alias("_rows"), F.sum("f").alias("_frauds"))
+    if not by:
+        none = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_rows", "_frauds")]
+        totals = totals.agg(*none).select(F.lit(1).alias("_s"), "*")
+    k = F.bround(F.col("_rows") * F.col("fatia"), 0).cast("bigint")
+    slices = F.explode(F.array(*[F.lit(float(x)) for x in fractions])).alias("fatia")
+    every = totals.select("*", slices).withColumn("k", k)
     cuts = (
-        ranked.select("*", rows.alias("_rows"), F.explode(fatias).alias("fatia"))
-        .withColumn("k", F.bround(F.col("_rows") * F.col("fatia"), 0).cast("bigint"))
+        _joined(ranked, every, group)
         .where((F.col("cum_n") - F.col("n") < F.col("k")) & (F.col("k") <= F.col("cum_n")))
         .select(
+            *group,
             "fatia",
-            "k",
-            F.col(score).alias("_cut"),
+            F.col(score),
             (F.col("k") - F.col("cum_n") + F.col("n")).alias("_take"),
             (F.col("cum_f") - F.col("f")).alias("_above"),
         )
     )
-    tied = df.join(F.broadcast(cuts), F.col(score) == F.col("_cut")).select(
+    tied = _joined(df, cuts, [*group, score]).select(
+        *group,
         "fatia",
-        "k",
         "_take",
         "_above",
         F.col(id_).alias("_id"),
         F.lit(1).alias("_one"),
         F.col(label).cast("int").alias("_y"),
     )
-    taken = running_total(tied, ["fatia"], "_id", ["_one"]).where("cum__one <= _take")
+    taken = running_total(tied, [*group, "fatia"], "_id", ["_one"]).where("cum__one <= _take")
     caught = F.first("_above") + F.sum("_y")
-    found = taken.groupBy("fatia").agg(caught.alias("fraudes"))
-    every = hist.agg(F.sum("n").alias("_rows")).select("_rows", F.explode(fatias).alias("fatia"))
-    k = F.bround(F.coalesce("_rows", F.lit(0)) * F.col("fatia"), 0).cast("bigint")
-    return every.select("fatia", k.alias("k")).join(F.broadcast(found), "fatia", "left").select(
+    found = taken.groupBy(*group, "fatia").agg(caught.alias("fraudes"))
+    fraudes = F.coalesce("fraudes", F.lit(0))
+    return _joined(every, found, [*group, "fatia"], "left").select(
+        *by,
         "fatia",
         F.col("k").alias("transacoes_revisadas"),
-        F.coalesce("fraudes", F.lit(0)).cast("bigint").alias("fraudes"),
-        percent(F.coalesce("fraudes", F.lit(0)), frauds, 4).alias("recall_pct"),
-        percent(F.coalesce("fraudes", F.lit(0)), F.col("k"), 4).alias("precisao_pct"),
+        fraudes.cast("bigint").alias("fraudes"),
+        percent(fraudes, F.col("_frauds"), 4).alias("recall_pct"),
+        percent(fraudes, F.col("k"), 4).alias("precisao_pct"),
     )
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join where NULL keys meet one another."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
+    return left.join(other, same, how).drop(*[f"_r_{c}" for c in keys])
+
+
 def chi2_tail(x: Column, dof: Column) -> Column:
     """P(chi-square with ``dof`` degrees of freedom > x), as a column expression.
 

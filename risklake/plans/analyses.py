@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from risklake.config import SIMULATED_RULES
 from risklake.functions.numeric import cents, from_cents, percent, ratio, round_half
 from risklake.operators.metrics import additive, kpi, rates
-from risklake.operators.ranking import auc, chi2
+from risklake.operators.ranking import auc, capture_top, chi2
 from risklake.plans.lakehouse import Lake
 
 BY_RATE = F.desc_nulls_last
@@ -124,6 +124,11 @@ def auc_by_month(lake: Lake) -> DataFrame:
     return auc(lake.silver, ["risk_score"], "is_fraud", by=["year", "month"])
 
 
+def capture_by_month(lake: Lake) -> DataFrame:
+    """Frauds that the current engine's top fractions catch, month by month."""
+    return capture_top(lake.silver, "risk_score", "transaction_id", "is_fraud", by=["year", "month"])
+
+
 def credit_independence(lake: Lake) -> DataFrame:
     scores = lake.mart("gold_segmento_score")
     counts = scores.select(

@@ -203,9 +203,12 @@ CATALOG: dict[str, Query] = {
     # sources and sinks
     "raw_scan": loads.csv_round_trip,
     "raw_rejects": loads.rejected_cells,
+    "raw_multiline": loads.multiline_cells,
+    "raw_multiline_rejects": loads.multiline_rejects,
     "landing_reconcile": loads.landing,
     "partition_counts": loads.partition_counts,
     "pruned_month": lambda lake: loads.one_month(lake, 1998, 3),
+    "pruning_evidence": lambda lake: loads.pruning_evidence(lake, 1998, 3),
     "schema_report": lambda lake: schema_report(lake.silver),
     "layer_sizes": loads.sizes,
     "row_funnel": loads.funnel,
@@ -266,6 +269,7 @@ CATALOG: dict[str, Query] = {
     "a5c": analyses.rule_simulation,
     "fraud_by_type": analyses.fraud_by_type,
     "auc_by_month": analyses.auc_by_month,
+    "capture_by_month": analyses.capture_by_month,
     # panels
     "panel_cube": lambda lake: panels.base_cube(lake.cube),
     "panel_kpis": lambda lake: panels.kpis(lake.cube),
@@ -317,6 +321,8 @@ CATALOG: dict[str, Query] = {
     "ml_metrics": lambda lake: model.evaluation(model.scored_test(lake)),
     "odds_ratios": lambda lake: model.odds_ratios(lake.spark, model.lake_glm(lake)),
     "ml_interaction": _interaction,
+    "ml_score_balance": model.score_certificate,
+    "odds_ratios_check": model.odds_ratios_check,
     "ml_cv": lambda lake: model.cross_validated(model.feature_table(lake)),
     "capture_top_risk": _capture_risk,
     "capture_top_model": lambda lake: capture_top(

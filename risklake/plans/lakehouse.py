@@ -22,7 +22,7 @@ from risklake.sources.layers import (
     write_layer,
     write_small,
 )
-from risklake.sources.raw_files import land_copy, read_raw, reconcile
+from risklake.sources.raw_files import land_copy, read_raw, reconcile_bytes
 from risklake.sources.transactions import raw_transactions, table
 
 
@@ -144,7 +144,7 @@ class Lake:
         """
         landing = self.path("raw/transactions")
         land_copy(self.spark, csv, landing)
-        proof = written(reconcile(self.spark, csv, landing), "landing")
+        proof = written(reconcile_bytes(self.spark, csv, landing), "landing")
         good, rejects = read_raw(self.spark, landing)
         write_layer(rejects, self.path("raw/rejeitadas"))
         self.build(good)

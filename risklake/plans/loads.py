@@ -69,7 +69,7 @@ def landing(lake: Lake) -> DataFrame:
     src, dst = fresh(lake, "origem"), fresh(lake, "landing")
     raw_files.write_raw_csv(_raw_rows(lake), src)
     raw_files.land_copy(lake.spark, src, dst)
-    return raw_files.reconcile(lake.spark, src, dst)
+    return raw_files.reconcile_bytes(lake.spark, src, dst)
 
 
 def partition_counts(lake: Lake) -> DataFrame:
@@ -82,6 +82,48 @@ def one_month(lake: Lake, year: int, month: int) -> DataFrame:
     return picked.groupBy("year", "month").agg(F.count("*").alias("linhas"))
 
 
+def pruning_evidence(lake: Lake, year: int, month: int) -> DataFrame:
+    """What a month's filter reads: files its rows came from, files of other months among them, and
+    whether that is fewer than the layer lists."""
+    own = F.col("_metadata.file_path").contains(f"/year={year}/month={month}/")
+    picked = lake.raw.where((F.col("year") == year) & (F.col("month") == month))
+    opened = picked.groupBy(F.col("_metadata.file_path").alias("arquivo"), own.alias("proprio")).agg(F.count("*").alias("linhas"))
+    read = opened.agg(
+        F.sum("linhas").alias("linhas"), F.count_if(~F.col("proprio")).alias("arquivos_de_outros_meses"),
+        F.count("*").alias("_lidos"),
+    )
+    listed = layer_sizes(lake.spark, {"raw": lake.path("raw_particionada")}).select(F.col("arquivos").alias("_total"))
+    return read.join(F.broadcast(listed)).select(
+        "linhas", "arquivos_de_outros_meses",
+        ((F.col("_lidos") > 0) & (F.col("_lidos") < F.col("_total"))).alias("leu_menos_arquivos"),
+    )
+
+
+def multiline_cells(lake: Lake) -> DataFrame:
+    """All raw rows as CSV with line breaks, commas and quotes planted in a cell, scanned back."""
+    path = fresh(lake, "csv-quebras")
+    raw_files.write_raw_csv(_with_breaks(_raw_rows(lake)), path)
+    return raw_files.read_raw(lake.spark, path)[0].select("transaction_id", "segment", "credit_score", "is_fraud")
+
+
+def multiline_rejects(lake: Lake) -> DataFrame:
+    """The same with unparsable numbers: one reject for each such cell, none for a line break."""
+    path = fresh(lake, "csv-quebras-sujo")
+    text = _with_breaks(_raw_rows(lake))
+    text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
+    number = F.col("transaction_id").cast("bigint")
+    bad = F.when(number % 701 == 0, F.lit("n/d")).otherwise(F.col("credit_score"))
+    raw_files.write_raw_csv(text.withColumn("credit_score", bad), path)
+    rejects = raw_files.read_raw(lake.spark, path)[1]
+    return rejects.select(F.col("transaction_id").cast("bigint").alias("transaction_id"), "coluna", "valor")
+
+
+def _with_breaks(rows: DataFrame) -> DataFrame:
+    """Every 97th transaction's segment runs over three lines, with a comma and a quote in it."""
+    broken = F.concat(F.lit('a,"b"\n,"c,\n'), F.col("segment"))
+    return rows.withColumn("segment", F.when(F.col("transaction_id") % 97 == 0, broken).otherwise(F.col("segment")))
+
+
 def incremental_load(lake: Lake, first_until: str) -> DataFrame:
     """A first load, then an append of all that it lacked.
 

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from risklake.config import INDICATORS, NUMERIC_FEATURES
-from risklake.operators.ranking import separation
+from risklake.functions.numeric import round_half
+from risklake.operators.ranking import auc, separation
 from risklake.plans.lakehouse import Lake
 from risklake.sources.layers import write_layer
 
@@ -134,20 +135,83 @@ def evaluation(scored: DataFrame) -> DataFrame:
 
 
 def cross_validated(df: DataFrame, folds: int = 3) -> DataFrame:
-    """Mean and spread of the ROC area over id-hashed folds."""
+    """Mean and spread of the exact ROC area over id-hashed folds.
+
+    One fold after the other is left out; each fit is a distributed job of its own, and
+    all left-out rows are scored and ranked together.
+    """
     folded = df.withColumn("_fold", (hash_percent("transaction_id", "fold") % folds).cast("int"))
-    pipeline = estimator()
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=folds,
-    ).fit(folded)
-    return df.sparkSession.createDataFrame(
-        [(folds, float(search.avgMetrics[0]), float(search.stdMetrics[0]))],
-        "dobras int, auc_media double, auc_desvio double",
+    scored = []
+    for k in range(folds):
+        fitted = fit(folded.where(F.col("_fold") != k))
+        left_out = score(fitted, folded.where(F.col("_fold") == k))
+        scored.append(left_out.select("_fold", "is_fraud", "p_fraude"))
+    areas = auc(reduce(DataFrame.unionByName, scored), ["p_fraude"], "is_fraud", by=["_fold"])
+    return areas.agg(
+        F.count("auc").cast("int").alias("dobras"),
+        round_half(F.avg("auc"), 6).alias("auc_media"),
+        round_half(F.stddev_pop("auc"), 6).alias("auc_desvio"),
+    )
+
+
+def _inputs(columns: Sequence[str]) -> list[Column]:
+    """The model's inputs with the intercept's constant first."""
+    return [F.lit(1.0), *(F.col(c) for c in columns)]
+
+
+def score_balance(scored: DataFrame, columns: Sequence[str] = FEATURES, tolerance: float = 1e-4) -> DataFrame:
+    """Certificate of the fit, without any knowledge of how it was found.
+
+    At the maximum of the likelihood, and only there, predicted and observed sums of
+    every input agree over the rows it was fitted on. One row per input.
+    """
+    names, x = ["intercepto", *columns], _inputs(columns)
+    sums = scored.agg(
+        *[F.sum(v * F.col("label")).alias(f"o{i}") for i, v in enumerate(x)],
+        *[F.sum(v * F.col("p_fraude")).alias(f"p{i}") for i, v in enumerate(x)],
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(n).alias("variavel"), F.col(f"o{i}").alias("o"), F.col(f"p{i}").alias("p"))
+            for i, n in enumerate(names)
+        ]
+    )
+    near = F.abs(F.col("o") - F.col("p")) <= F.lit(tolerance) * F.greatest(F.abs("o"), F.lit(1.0))
+    return sums.select(F.inline(rows)).select(
+        "variavel", round_half(F.col("o"), 2).alias("soma_observada"), near.alias("equilibrada")
+    )
+
+
+def information_errors(scored: DataFrame, columns: Sequence[str] = FEATURES) -> dict[str, float]:
+    """Standard errors from the inverse of the information matrix, one aggregation over the rows.
+
+    Only the matrix, one row and column per input, comes to the driver.
+    """
+    x, weight = _inputs(columns), F.col("p_fraude") * (F.lit(1.0) - F.col("p_fraude"))
+    cells = [(i, j) for i in range(len(x)) for j in range(i + 1)]
+    sums = scored.agg(*[F.sum(weight * x[i] * x[j]).alias(f"c{i}_{j}") for i, j in cells]).first()
+    matrix = np.zeros((len(x), len(x)))
+    for i, j in cells:
+        matrix[i, j] = matrix[j, i] = sums[f"c{i}_{j}"]
+    errors = np.sqrt(np.diag(np.linalg.inv(matrix)))
+    return dict(zip(["intercepto", *columns], errors.tolist(), strict=True))
+
+
+def odds_ratios_check(lake: Lake, tolerance: float = 1e-3) -> DataFrame:
+    """The GLM's coefficients and errors beside those of the logistic model and its information matrix."""
+    fitted = lake_model(lake)
+    logistic = fitted.stages[-1]
+    mine = dict(zip(["intercepto", *FEATURES], [logistic.intercept, *logistic.coefficients.toArray()], strict=True))
+    errors = information_errors(score(fitted, feature_table(lake, True)))
+    rows = lake.spark.createDataFrame(
+        [(n, float(mine[n]), errors[n]) for n in mine], "variavel string, _coeficiente double, _erro double"
+    )
+    c = F.col
+    same_value = F.abs(c("coeficiente") - c("_coeficiente")) <= F.lit(tolerance) * c("erro_padrao")
+    same_error = F.abs(c("erro_padrao") - c("_erro")) <= F.lit(tolerance) * c("erro_padrao")
+    inside = (c("ic95_inf") < c("odds_ratio")) & (c("odds_ratio") < c("ic95_sup"))
+    return odds_ratios(lake.spark, lake_glm(lake)).join(rows, "variavel").select(
+        "variavel", same_value.alias("coeficiente_confere"), same_error.alias("erro_confere"), inside.alias("intervalo_confere")
     )
 
 
@@ -206,3 +270,8 @@ def scored_test(lake: Lake) -> DataFrame:
     return score(lake_model(lake), feature_table(lake, False)).select(
         "transaction_id", "is_fraud", "risk_score", "p_fraude"
     )
+
+
+def score_certificate(lake: Lake) -> DataFrame:
+    """Balance of the model over the rows it was fitted on."""
+    return score_balance(score(lake_model(lake), feature_table(lake, True)))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from risklake.config import RAW_SCHEMA
+from risklake.session import written
 
 BAD_LINE = "_linha_ruim"
+#: Folder name of a landed file's parts.
+ORIGIN = "arquivo"
+#: Bytes of a file under one leaf of its digest tree, and leaves under one node.
+DIGEST_BYTES, DIGEST_FAN = 1 << 20, 1024
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -26,11 +31,132 @@ def header_line(schema: T.StructType = RAW_SCHEMA) -> str:
     return ",".join(schema.names)
 
 
+# A cell in quotes up to its closing quote; doubled and escaped quotes are content.
+_QUOTED = r'(?:[^"\\]++|\\.|"")*+'
+#: A line that starts outside quotes and ends inside: whole cells, then one that stays open.
+_OPENS = rf'^(?:(?:"{_QUOTED}"[^,]*+|[^",][^,]*+|),)*+"{_QUOTED}\\?$'
+_CLOSES = rf'^{_QUOTED}"[^,]*+(?:,|$)'
+#: Longest record in lines; what opens a quote and runs longer is malformed, line by line.
+MOST_LINES = 1000
+
+
+def _quote_states(line: Column) -> tuple[Column, Column]:
+    """Whether the line ends inside quotes if it starts outside, and if it starts inside."""
+    closes = line.rlike(_CLOSES)
+    rest = F.regexp_replace(line, _CLOSES, "")
+    return line.rlike(_OPENS), ~closes | rest.rlike(_OPENS)
+
+
+def _ordered_lines(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
+    """Lines with their file, the byte range they were read from, and their order within it.
+
+    The parts that a landing copy makes of a file are ranges of that file, in the
+    order of their part numbers.
+    """
+    reader = spark.read.option("lineSep", line_end) if line_end else spark.read
+    lines, meta = reader.text(path), F.col("_metadata")
+    landed = ORIGIN in lines.columns
+    number = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1).try_cast("bigint") if landed else F.lit(0)
+    return lines.select(
+        "value",
+        (F.col(ORIGIN).cast("string") if landed else _origin(meta)).alias("_file"),
+        F.struct(number.alias("n"), meta["file_path"].alias("p"), meta["file_block_start"].alias("b")).alias("_range"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+
+
+def _origin(meta: Column) -> Column:
+    """Name of a source file, unique among files of one name in several folders."""
+    return F.concat(meta["file_name"], F.lit("-"), F.lower(F.hex(F.xxhash64(meta["file_path"]))))
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Ordered lines with what each makes of the quote state."""
+    outside, inside = _quote_states(F.col("value"))
+    return _ordered_lines(spark, path).select("*", outside.alias("_opens"), inside.alias("_stays"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Records of files in which cells run over line ends; each file may be split into many ranges.
+
+    A line turns the quote state it starts in into the one it ends in: it keeps it,
+    flips it, or sets it. Every range composes its lines under either starting state;
+    a pass over the ranges of a file, one row each, then tells the state each starts in.
+    """
+    whole = ["_file", "_range"]
+    opens, stays = F.col("_opens"), F.col("_stays")
+    flips = (opens & ~stays).cast("int")
+    inside = Window.partitionBy(*whole).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    turned = lines.withColumn("_flips", F.sum(flips).over(inside))
+    # What the last line that sets the state set it to, and the flips up to there.
+    sets = F.when(opens == stays, F.struct(opens.cast("int").alias("v"), F.col("_flips").alias("f")))
+    turned = turned.withColumn("_set", F.last(sets, ignorenulls=True).over(inside))
+
+    def ends(start: Column) -> Column:
+        since = F.col("_flips") - F.coalesce(F.col("_set.f"), F.lit(0))
+        return (F.coalesce(F.col("_set.v"), start) + since) % 2
+
+    turned = turned.select("value", *whole, "_at", ends(F.lit(0)).alias("_end0"), ends(F.lit(1)).alias("_end1"))
+    of_range = turned.groupBy(*whole).agg(*[F.max_by(c, "_at").alias(c) for c in ("_end0", "_end1")])
+    ordered = F.transform(
+        F.array_sort(F.collect_list(F.struct("_range", "_end0", "_end1"))), lambda r: r
+    )
+    # One row per range, so the list of a file is as short as it has ranges.
+    step = F.aggregate(
+        "_ranges",
+        F.array(F.lit(0)),
+        lambda acc, r: F.concat(
+            acc, F.array(F.when(F.element_at(acc, -1) == 0, r["_end0"]).otherwise(r["_end1"]).cast("int"))
+        ),
+    )
+    starts = (
+        of_range.groupBy("_file").agg(ordered.alias("_ranges"))
+        .select("_file", F.inline(F.arrays_zip(F.col("_ranges._range").alias("_range"), step.alias("_start"))))
+        .where("_range IS NOT NULL")
+    )
+    before = Window.partitionBy(*whole).orderBy("_at")
+    known = turned.join(starts, whole).withColumn("_ends", F.when(F.col("_start") == 0, F.col("_end0")).otherwise(F.col("_end1")))
+    known = known.withColumn("_begins", F.coalesce(F.lag("_ends").over(before), F.col("_start")) == 0)
+    # A record is named by the range and place of its first line; a range's lines before
+    # any first line belong to the last record of an earlier range.
+    first = F.when(F.col("_begins"), F.struct("_range", "_at"))
+    known = known.withColumn("_record", F.last(first, ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    known = written(known.select("value", *whole, "_at", "_ends", "_record"), "linhas-citadas")
+    last = known.groupBy(*whole).agg(F.max("_record").alias("_last"))
+    earlier = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*whole, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    named = known.join(carried, whole).withColumn("_record", F.coalesce("_record", "_carried")).drop("_carried")
+    sizes = named.groupBy("_file", "_record").agg(
+        F.count("*").alias("_lines"), F.max_by("_ends", F.struct("_range", "_at")).alias("_open")
+    )
+    good = (F.col("_open") == 0) & F.col("_lines").between(2, MOST_LINES)
+    several = written(sizes.where(good).select("_file", "_record"), "registros-citados")
+    joined = named.join(several, ["_file", "_record"]).groupBy("_file", "_record").agg(
+        F.array_sort(F.collect_list(F.struct("_range", "_at", "value"))).alias("_l")
+    )
+    alone = named.join(several, ["_file", "_record"], "left_anti").select("value")
+    return alone.unionByName(joined.select(F.array_join(F.col("_l.value"), "\n").alias("value")))
+
+
+def record_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per CSV record: its line, or its lines where a quoted cell holds line breaks.
+
+    One pass looks for files with a line that ends inside quotes. All other files are
+    taken line by line, without a shuffle. A quote that is never closed, or not within
+    MOST_LINES lines, leaves its lines as they are.
+    """
+    lines = _numbered_lines(spark, path)
+    quoted = written(lines.where("_opens").select("_file").distinct(), "arquivos-citados")
+    plain = lines.join(quoted, "_file", "left_anti").select("value")
+    return plain.unionByName(_records(written(lines.join(quoted, "_file"), "linhas-abertas")))
+
+
 def read_as_text(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Every declared column as text, plus the whole line when its shape is wrong.
 
-    Lines are read as text and parsed one by one. Header lines are recognised by
-    content, wherever they stand: a landing copy splits large files, so most of
+    Records are read as text and parsed one by one; line breaks within quoted cells
+    become a line feed. Header lines are recognised by content, quoted or not,
+    wherever they stand: a landing copy splits large files, so most of
     its parts carry no header and "skip the first line" would lose data. Nor can
     column pruning hide a malformed line from a query that skips its columns.
     """
@@ -41,10 +167,12 @@ def read_as_text(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
     parsed = F.from_csv(
         "value",
         ", ".join(f"`{f.name}` string" for f in text.fields),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE},
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "multiLine": "true"},
     )
-    lines = spark.read.text(path).where(~F.col("value").isin("", header_line(schema)))
-    return lines.select(parsed.alias("_r")).select("_r.*")
+    lines = record_lines(spark, path).where(F.col("value") != "")
+    cells = lines.select(parsed.alias("_r")).select("_r.*")
+    is_header = F.array(*[F.col(n) for n in schema.names]).eqNullSafe(F.array(*[F.lit(n) for n in schema.names]))
+    return cells.where(~is_header)
 
 
 def _failed(field: T.StructField):
@@ -97,8 +225,63 @@ def read_raw(
 
 
 def land_copy(spark: SparkSession, src: str, dst: str) -> None:
-    """Copy raw lines to the landing folder unchanged."""
-    spark.read.text(src).write.mode("overwrite").text(dst)
+    """Copy files to the landing folder byte by byte, a folder per file, a part per byte range.
+
+    Only line feeds end a line here, so carriage returns stay content. Every task
+    copies its ranges in order, without a shuffle; a last line without its end gets one.
+    """
+    lines = _ordered_lines(spark, src, "\n").withColumn(ORIGIN, F.col("_file"))
+    ordered = lines.sortWithinPartitions(ORIGIN, "_at").select("value", ORIGIN)
+    ordered.write.mode("overwrite").partitionBy(ORIGIN).option("lineSep", "\n").text(dst)
+
+
+def file_digests(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """Data lines, bytes and content digest of every file, wherever a copy was cut into parts.
+
+    A digest tree: lines hash with their byte offset, lines of a fixed range of the
+    file add up, ranges hash in order to nodes and nodes to the file. Any changed,
+    moved, lost or repeated byte changes it. Only hashes and lengths are shuffled.
+    """
+    lines = _ordered_lines(spark, path, "\n").select(
+        "_file", "_range", "_at", (F.octet_length("value").cast("bigint") + 1).alias("_n"),
+        F.xxhash64(F.col("value").cast("binary")).alias("_h"),
+        (F.rtrim("value", F.lit("\r")) != header_line(schema)).alias("_data"),
+    )
+    ranges = lines.groupBy("_file", "_range").agg(F.sum("_n").alias("_size"))
+    before = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_file", "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_file", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.withColumn("_offset", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(ranges, ["_file", "_range"])
+    placed = placed.withColumn("_offset", F.col("_offset") + F.col("_base"))
+    leaves = placed.groupBy("_file", F.floor(F.col("_offset") / DIGEST_BYTES).alias("_leaf")).agg(
+        F.sum(F.xxhash64("_h", "_offset").cast("decimal(38,0)")).cast("string").alias("_d"),
+        F.sum("_n").alias("bytes"), F.count_if("_data").alias("linhas"),
+    )
+
+    def merged(rows: DataFrame, child: str, *keys: Column | str) -> DataFrame:
+        digests = F.array_sort(F.collect_list(F.struct(child, "_d")))["_d"]
+        return rows.groupBy(*keys).agg(
+            F.sha2(F.concat_ws(",", digests), 256).alias("_d"), F.sum("bytes").alias("bytes"), F.sum("linhas").alias("linhas")
+        )
+
+    nodes = merged(leaves, "_leaf", "_file", F.floor(F.col("_leaf") / DIGEST_FAN).alias("_node"))
+    return merged(nodes, "_node", "_file").select(
+        F.col("_file").alias(ORIGIN), "linhas", "bytes", F.col("_d").alias("resumo")
+    )
+
+
+def reconcile_bytes(
+    spark: SparkSession, src: str, dst: str, schema: T.StructType = RAW_SCHEMA
+) -> DataFrame:
+    """One row: data lines on both sides, and whether every file's bytes are the same on both."""
+    a = file_digests(spark, src, schema).select(ORIGIN, F.struct("linhas", "bytes", "resumo").alias("origem"))
+    b = file_digests(spark, dst, schema).select(ORIGIN, F.struct("linhas", "bytes", "resumo").alias("destino"))
+    both = a.join(b, ORIGIN, "full_outer")
+    return both.agg(
+        F.coalesce(F.sum("origem.linhas"), F.lit(0)).alias("linhas_origem"),
+        F.coalesce(F.sum("destino.linhas"), F.lit(0)).alias("linhas_destino"),
+        F.coalesce(F.bool_and(F.col("origem").eqNullSafe(F.col("destino"))), F.lit(True)).alias("integro"),
+    )
 
 
 def _fingerprint(lines: DataFrame, header: str) -> DataFrame:
@@ -114,7 +297,7 @@ def _fingerprint(lines: DataFrame, header: str) -> DataFrame:
 def reconcile(
     spark: SparkSession, src: str, dst: str, schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
-    """One row: data lines on both sides and whether the contents are equal."""
+    """One row: data lines on both sides and whether they are the same lines, in any order and files."""
     header = header_line(schema)
     a = _fingerprint(spark.read.text(src), header).select(
         F.lit(1).alias("k"), F.struct("*").alias("origem")

@@ -2,13 +2,16 @@
 
 import csv
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import types as T
 
 from risklake.config import RAW_SCHEMA, RuleBounds
 from risklake.operators.quality import quality_rules
 from risklake.plans.lakehouse import Lake
-from risklake.sources.raw_files import file_signatures, land_copy, read_raw, reconcile
+from risklake.sources import raw_files
+from risklake.sources.raw_files import file_digests, file_signatures, land_copy, read_as_text, read_raw, reconcile, reconcile_bytes, write_raw_csv
 
 COLUMNS = RAW_SCHEMA.names
 
@@ -171,3 +174,86 @@ def test_split_files_lose_no_line(spark, tmp_path):
 
 def test_rule_order_and_count():
     assert len(quality_rules(RuleBounds())) == 14
+
+
+NOTE = T.StructType([T.StructField("id", T.LongType()), T.StructField("nota", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+@pytest.fixture()
+def small_ranges(spark):
+    """Files are read in ranges of 64 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("64", "0"), strict=True):
+        spark.conf.set(n, v)
+    yield
+    for n, v in zip(names, before, strict=True):
+        spark.conf.set(n, v)
+
+
+def notes(n=200, seed=1):
+    rng = random.Random(seed)
+    pieces = ["a", "b", ",", '"', "\n", "x y", " ", '",\n"']
+    return [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))).strip() or "q", i) if i % 3 == 0 else (i, "plain", i) for i in range(n)]
+
+
+def cells(df):
+    return sorted((int(r.id), r.nota) for r in df.collect())
+
+
+def test_line_breaks_in_cells_of_split_files(spark, small_ranges, tmp_path):
+    rows, src, dst = notes(), str(tmp_path / "notas"), str(tmp_path / "copia")
+    write_raw_csv(spark.createDataFrame(rows, NOTE).coalesce(2), src)
+    assert spark.read.text(src).rdd.getNumPartitions() > 20
+    want = [(i, t) for i, t, _ in rows]
+    good, rejects = read_raw(spark, src, NOTE)
+    assert cells(good) == want and rejects.count() == 0
+    # A copy cut into parts within a cell still has whole records.
+    land_copy(spark, src, dst)
+    assert len(list((tmp_path / "copia").rglob("part-*"))) > 20
+    good, rejects = read_raw(spark, dst, NOTE)
+    assert cells(good) == want and rejects.count() == 0
+
+
+def test_quoted_header_and_quotes_left_open(spark, small_ranges, tmp_path, monkeypatch):
+    file = tmp_path / "aberto.csv"
+    open_quote = "".join(f"{i},fine,{i}\n" for i in range(20, 30))
+    file.write_text('"id","nota","n"\n1,"two\nlines",1\n2,inch 5" mark,2\n' + '3,"never closed,3\n' + open_quote)
+    text = read_as_text(spark, str(file), NOTE).collect()
+    found = {r.id: r.nota for r in text if r[raw_files.BAD_LINE] is None}
+    assert found["1"] == "two\nlines" and found["2"] == 'inch 5" mark'
+    assert {str(i) for i in range(20, 30)} <= found.keys() and "id" not in found
+    monkeypatch.setattr(raw_files, "MOST_LINES", 1)
+    assert "two\nlines" not in {r.nota for r in read_as_text(spark, str(file), NOTE).collect()}
+
+
+def test_landing_is_true_to_the_byte(spark, small_ranges, tmp_path):
+    src, dst = tmp_path / "origem", tmp_path / "destino"
+    (src / "b").mkdir(parents=True)
+    raw = b"id,nota,n\r\n" + b"".join(b"%d,caf\xe9 \xff,%d\r\n" % (i, i) for i in range(50)) + b"\n\nlast,\r,1\n"
+    (src / "a.csv").write_bytes(raw)
+    (src / "b" / "a.csv").write_bytes(raw[: len(raw) // 2] + b"\n")
+    for name in ("a.csv", "b/a.csv"):
+        land_copy(spark, str(src / name), str(dst / name))
+        row = reconcile_bytes(spark, str(src / name), str(dst / name), NOTE).first()
+        assert row.integro and row.linhas_origem == row.linhas_destino
+        parts = sorted((dst / name).rglob("part-*"), key=lambda p: int(p.name.split("-")[1]))
+        assert len(parts) > 3 and b"".join(p.read_bytes() for p in parts) == (src / name).read_bytes()
+    assert file_digests(spark, str(src / "a.csv"), NOTE).first().bytes == len(raw)
+    for change in (lambda b: b.replace(b"\r\n", b"\n", 1), lambda b: b.replace(b"\xff", b"\xfe", 1), lambda b: b + b"x\n"):
+        part = next(p for p in sorted(dst.rglob("a.csv/arquivo=*/part-*")) if b"\xff" in p.read_bytes() and "/b/" not in str(p))
+        before = part.read_bytes()
+        part.write_bytes(change(before))
+        for crc in part.parent.glob(f".{part.name}.crc"):
+            crc.write_bytes(b"")
+        assert not reconcile_bytes(spark, str(src / "a.csv"), str(dst / "a.csv"), NOTE).first().integro
+        part.write_bytes(before)
+
+
+def test_lines_in_another_order_are_not_the_same_file(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("1,a,1\n2,b,2\n")
+    (tmp_path / "b" / "x.csv").write_text("2,b,2\n1,a,1\n")
+    digests = {file_digests(spark, str(tmp_path / d), NOTE).first().resumo for d in "ab"}
+    assert len(digests) == 2

@@ -89,3 +89,15 @@ def test_model_capture_matches_a_full_sort(medium_lake):
         k = round(len(rows) * r.fatia)
         assert r.transacoes_revisadas == k
         assert r.fraudes == sum(x.is_fraud for x in ranked[:k])
+
+
+def test_cross_validation_is_stable_over_reruns(lake):
+    found = [CATALOG["ml_cv"](lake).first() for _ in range(3)]
+    assert found[0] == found[1] == found[2] and found[0].dobras == 3
+
+
+def test_balance_notices_another_model(medium_lake):
+    rows = model.score(model.lake_model(medium_lake), model.feature_table(medium_lake, True))
+    assert all(r.equilibrada for r in model.score_balance(rows).collect())
+    off = rows.withColumn("p_fraude", F.col("p_fraude") * 1.01)
+    assert not any(r.equilibrada for r in model.score_balance(off).collect())

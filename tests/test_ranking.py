@@ -112,3 +112,14 @@ def test_capture_counts_rows_without_score_and_tiny_fractions(spark):
         0.01: (0, 0), 0.5: (10, 5), 0.75: (15, 7),
     }
     assert got[0.01].precisao_pct is None
+
+
+def test_capture_of_each_group_is_that_of_the_group_alone(spark):
+    rows = [(i, f"g{i % 3}", None if i % 11 == 0 else float(i * 7 % 13), i % 5 == 0) for i in range(200)] + [(999, "one", 1.0, True)]
+    df = spark.createDataFrame(rows, "id long, g string, s double, y boolean")
+    got = {}
+    for r in capture_top(df, "s", "id", "y", by=["g"]).collect():
+        got.setdefault(r.g, []).append(tuple(r)[1:])
+    for g in ("g0", "g1", "g2", "one"):
+        alone = capture_top(df.where(f"g = '{g}'"), "s", "id", "y").collect()
+        assert sorted(got[g], key=str) == sorted(map(tuple, alone), key=str)
