@@ -146,6 +146,60 @@ def _closed_windows(lake: Lake, name: str, build: Callable[[DataFrame], DataFram
     return lake.spark.read.schema(stored_schema(stream)).parquet(out)
 
 
+DELIVERIES = 4
+
+
+def _deliveries(lake: Lake) -> DataFrame:
+    """The given events by delivery: a quarter of their time span each, every 37th one delivery late."""
+    given = lake.given("events")
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    span = given.select(seconds.alias("s")).agg(F.min("s").alias("_from"), F.max("s").alias("_to"))
+    part = F.floor((seconds - F.col("_from")) * DELIVERIES / (F.col("_to") - F.col("_from") + 1)).cast("int")
+    late = (F.col("event_id") % 37 == 0) & (part < DELIVERIES - 1)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in jobs.EVENT_SCHEMA.fields]
+    return given.join(F.broadcast(span)).select(*columns, F.when(late, part + 1).otherwise(part).alias("entrega"))
+
+
+def _diverted(lake: Lake) -> str:
+    """Folder of a feed delivered out of order, split into rows on time and late ones."""
+    session, feed = jobs.stream_session(lake.spark), loads.fresh(lake, "entregas")
+    out, progress = loads.fresh(lake, "desvio"), loads.fresh(lake, "desvio-progresso")
+    events = _deliveries(lake)
+    for k in range(DELIVERIES):
+        events.where(F.col("entrega") == k).drop("entrega").write.mode("append").parquet(feed)
+        jobs.diverted(jobs.read_events(session, feed), out, progress).awaitTermination()
+    return out
+
+
+def _stream_late(lake: Lake) -> DataFrame:
+    """Events that came after their window had closed, and the mark they missed."""
+    late = lake.spark.read.parquet(f"{_diverted(lake)}/atrasados")
+    zoneless = {c: F.col(c).cast("timestamp_ntz") for c in ("ts", "marca")}
+    return late.withColumns(zoneless).select("event_id", "ts", "user_id", "event_type", "marca", F.col("lote").cast("int").alias("entrega"))
+
+
+def _stream_on_time(lake: Lake) -> DataFrame:
+    """Windows of the feed's rows on time beside the rows it diverted: their sum is what came."""
+    out = _diverted(lake)
+    session = jobs.stream_session(lake.spark)
+    windows, progress = loads.fresh(lake, "janelas-prazo"), loads.fresh(lake, "janelas-prazo-progresso")
+    stream = jobs.tumbling(jobs.read_events(session, f"{out}/no_prazo"))
+    jobs.run(stream, windows, progress).awaitTermination()
+    last = lake.given("events").agg(F.max("ts").cast("timestamp_ntz").cast("string")).first()[0]
+    if last is not None:
+        jobs.end_of_feed(lake.spark, last, f"{out}/no_prazo/lote={DELIVERIES}")
+        jobs.run(jobs.tumbling(jobs.read_events(session, f"{out}/no_prazo")), windows, progress).awaitTermination()
+    closed = lake.spark.read.schema(stored_schema(stream)).parquet(windows)
+    late = lake.spark.read.parquet(f"{out}/atrasados").select("user_id")
+    kinds = closed.select("user_id", F.col("eventos").alias("no_prazo"), F.lit(0).alias("atrasados")).unionByName(
+        late.select("user_id", F.lit(0).alias("no_prazo"), F.lit(1).alias("atrasados"))
+    )
+    return kinds.groupBy("user_id").agg(
+        F.sum("no_prazo").alias("no_prazo"), F.sum("atrasados").alias("atrasados"),
+        (F.sum("no_prazo") + F.sum("atrasados")).alias("entregues"),
+    )
+
+
 def _stream_land(lake: Lake) -> DataFrame:
     return _stream(lake, "eventos", jobs.landed(_events(lake)), ("dia",))
 
@@ -333,6 +387,8 @@ CATALOG: dict[str, Query] = {
     "stream_tumbling": lambda lake: _closed_windows(lake, "janelas", jobs.tumbling),
     "stream_sliding": lambda lake: _closed_windows(lake, "deslizantes", jobs.sliding),
     "stream_dedup": _stream_dedup,
+    "stream_late": _stream_late,
+    "stream_on_time": _stream_on_time,
     "stream_quality": _stream_quality,
     "stream_score": _stream_score,
 }

@@ -139,6 +139,48 @@ def end_of_feed(spark: SparkSession, last: object, folder: str) -> None:
     row.write.mode("append").parquet(folder)
 
 
+def _finished(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
+def diverted(
+    events: DataFrame, out: str, checkpoint: str, window: str = "10 minutes", trigger: dict | None = None
+) -> StreamingQuery:
+    """File every event as on time or late; none vanishes.
+
+    An event is late if its window had closed before its batch: if it ends no later
+    than the latest event time of all earlier batches less DELAY. Windowed jobs read
+    ``out``/no_prazo, in which no row lies behind their watermark; late rows stand in
+    ``out``/atrasados with the mark they missed. Both are keyed by batch id, and a
+    batch that is repeated after a failure writes only what it had not finished.
+    """
+
+    def split(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        mark, earlier = (f"{out}/marcas/lote={n}" for n in (number, number - 1))
+        before = spark.read.parquet(earlier).first()["ate"] if _finished(spark, earlier) else None
+        rows = batch.persist()
+        if not _finished(spark, mark):
+            top = F.greatest(F.max("ts"), F.lit(before).cast("timestamp"))
+            rows.agg(top.alias("ate")).write.mode("overwrite").parquet(mark)
+        closed = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {DELAY}")
+        late = F.coalesce(F.window("ts", window)["end"] <= closed, F.lit(False))
+        told = rows.withColumn("_late", late)
+        for name, picked in (("no_prazo", told.where(~F.col("_late"))), ("atrasados", told.where("_late").withColumn("marca", closed))):
+            folder = f"{out}/{name}/lote={number}"
+            if not _finished(spark, folder):
+                picked.drop("_late").write.mode("overwrite").parquet(folder)
+        rows.unpersist()
+
+    return (
+        events.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def deduplicated(events: DataFrame) -> DataFrame:
     """First delivery of each event id; state is dropped past the watermark."""
     return events.withWatermark("ts", DELAY).dropDuplicatesWithinWatermark(["event_id"])

@@ -90,3 +90,27 @@ def test_end_of_feed_closes_all_windows_in_any_file_order(spark, feed, tmp_path)
     jobs.end_of_feed(spark, "2024-01-01 00:59:00", folder)
     rows = drain(spark, folder, tmp_path, jobs.tumbling).collect()
     assert sum(r.eventos for r in rows) == 4 and len(rows) == 3
+
+
+def test_late_rows_are_diverted_and_batches_repeatable(spark, feed, tmp_path):
+    folder, write = feed
+    out, progress = str(tmp_path / "desvio"), str(tmp_path / "progresso")
+
+    def deliver(rows):
+        write(rows)
+        jobs.diverted(jobs.read_events(jobs.stream_session(spark), folder), out, progress).awaitTermination()
+
+    def ids(name):
+        return sorted(r.event_id for r in spark.read.parquet(f"{out}/{name}").collect())
+
+    deliver([(1, 1, 7, "view"), (2, 60, 7, "purchase")])
+    deliver([(3, 2, 7, "purchase"), (4, 58, 7, "view"), (5, 120, 7, "view")])
+    deliver([(6, 59, 8, "view"), (7, 112, 8, "view"), (8, 130, 8, "view")])
+    assert ids("no_prazo") == [1, 2, 4, 5, 7, 8] and ids("atrasados") == [3, 6]
+    marks = {r.event_id: str(r.marca)[11:16] for r in spark.read.parquet(f"{out}/atrasados").collect()}
+    assert marks == {3: "00:50", 6: "01:50"}
+    # A windowed job over the rows on time drops none of them.
+    windows = drain(spark, f"{out}/no_prazo", tmp_path / "janelas", jobs.tumbling)
+    jobs.end_of_feed(spark, "2024-01-01 03:00:00", f"{out}/no_prazo/lote=99")
+    windows = drain(spark, f"{out}/no_prazo", tmp_path / "janelas", jobs.tumbling)
+    assert sum(r.eventos for r in windows.collect()) == 6
