@@ -5,7 +5,11 @@ from __future__ import annotations
 from oracles.base import (
     CLEAN,
     CUBE_KEYS,
+    DAILY_KEYS,
+    HOURLY_KEYS,
+    MEASURES,
     RULES,
+    SCORE_KEYS,
     big,
     cents,
     money,
@@ -87,6 +91,17 @@ _CUSTOMERS = """clientes AS (SELECT c_custkey AS customer_id, c_nationkey AS nac
 fatos AS (SELECT transaction_id, is_fraud, CASE WHEN customer_id % 17 = 0 THEN -customer_id ELSE customer_id END AS customer_id
   FROM silver)"""
 
+# Late labels of a year, one refusal in the web revoked again, frauds at points of sale cleared.
+_RELABELLED = """rotulada AS MATERIALIZED (SELECT * REPLACE (CASE WHEN year = 2001 AND is_fraud AND channel = 'pos' THEN FALSE
+  WHEN year = 2001 AND recusada AND risk_score >= 80 AND channel <> 'web' THEN TRUE ELSE is_fraud END AS is_fraud) FROM silver)"""
+
+_RELABELLED_TOTALS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS mart, (SELECT COUNT(*) FROM (SELECT DISTINCT {keys} FROM rotulada)) AS linhas, COUNT(*) AS transacoes,
+      COUNT(*) FILTER (WHERE is_fraud) AS fraudes, COUNT(*) FILTER (WHERE recusada AND NOT is_fraud) AS recusas_legitimas,
+      {big(f"SUM({cents('amount')}) FILTER (WHERE is_fraud)")} AS centavos_fraude FROM rotulada"""
+    for name, keys in zip(_MARTS, (CUBE_KEYS, DAILY_KEYS, HOURLY_KEYS, SCORE_KEYS))
+)
+
 # Planted faults and their outcomes.
 _FAULTS = """(VALUES (0, 'copia_exata', 'duplicata_id;duplicata_conteudo'),
   (1, 'conteudo_com_outro_id', 'duplicata_conteudo'), (2, 'valor_negativo', 'valor_invalido'),
@@ -148,6 +163,8 @@ LAYER_ORACLES = {
             fraud="is_fraud OR (year = 2001 AND recusada AND risk_score >= 80 AND channel <> 'web')"
         ),
     ),
+    "gold_after_labels": over("silver", f"SELECT {CUBE_KEYS}, {MEASURES} FROM rotulada GROUP BY {CUBE_KEYS}", _RELABELLED),
+    "gold_after_labels_totals": over("silver", _RELABELLED_TOTALS, _RELABELLED),
     "stg_clean": over("stg", "SELECT * FROM stg"),
     "label_values": over("raw", "SELECT is_fraud, COUNT(*) AS linhas FROM raw_tx GROUP BY 1"),
     "label_parse": over(

@@ -21,9 +21,7 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
     transaction prune the reads of Silver to those months; only labels that found no
     row there, or name no month, are looked up in the rest by id.
     """
-    latest = written(latest_labels(labels), "rotulos")
-    dated = {"year", "month"} <= set(labels.columns)
-    there = silver.where(_found_months(silver, labels, latest)) if dated else silver
+    there, latest = _labelled_months(silver, labels)
     touched = there.select("transaction_id", "year", "month").join(latest.select("transaction_id"), "transaction_id")
     months = touched.select("year", "month").distinct()
     columns = [
@@ -37,6 +35,29 @@ def apply_late_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def label_changes(silver: DataFrame, labels: DataFrame) -> DataFrame:
+    """Silver rows whose label changes, twice each: as they were (sinal -1) and as they are now (1).
+
+    Only the months that hold labelled rows are read. Labels that are NULL or equal
+    to Silver's change nothing; a NULL in Silver is a label like any other.
+    """
+    there, latest = _labelled_months(silver, labels)
+    changed = there.join(latest, "transaction_id").where("_rotulo IS NOT NULL AND NOT (_rotulo <=> is_fraud)")
+    sides = F.array(
+        F.struct(F.lit(-1).alias("sinal"), F.col("is_fraud").alias("_lado")),
+        F.struct(F.lit(1).alias("sinal"), F.col("_rotulo").alias("_lado")),
+    )
+    columns = [F.col("_lado").alias(c) if c == "is_fraud" else F.col(c) for c in silver.columns]
+    return changed.select("*", F.inline(sides)).select(*columns, "sinal")
+
+
+def _labelled_months(silver: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Silver's months that hold labelled rows (all months where labels name none), and the latest labels."""
+    latest = written(latest_labels(labels), "rotulos")
+    dated = {"year", "month"} <= set(labels.columns)
+    return (silver.where(_found_months(silver, labels, latest)) if dated else silver), latest
+
+
 def _found_months(silver: DataFrame, labels: DataFrame, latest: DataFrame) -> Column:
     """Condition on the calendar months that hold rows of the labels, a short list that prunes folders."""
     named = _in_months(labels.select("year", "month"))

@@ -84,6 +84,22 @@ def pick_mart(sets: DataFrame, name: str) -> DataFrame:
     return sets.where(F.col("mart") == name).select(*MARTS[name], *MEASURES, *extra)
 
 
+def mart_deltas(changes: DataFrame) -> DataFrame:
+    """What changed rows add to every mart: marts of the new rows less marts of the old.
+
+    ``changes`` holds Silver rows with ``sinal``: -1 as they were, 1 as they are.
+    """
+    was, now = (all_marts(changes.where(F.col("sinal") == s)) for s in (-1, 1))
+    return now.unionByName(was.withColumns({m: -F.col(m) for m in (*MEASURES, SCORE_SUM)}))
+
+
+def merged_mart(mart: DataFrame, deltas: DataFrame, name: str) -> DataFrame:
+    """A mart with the deltas added; groups left without a transaction go."""
+    rows = mart.unionByName(pick_mart(deltas, name))
+    extra = [F.sum(SCORE_SUM).alias(SCORE_SUM)] if name == "gold_segmento_score" else []
+    return rows.groupBy(*MARTS[name]).agg(*additive(rows), *extra).where("transacoes > 0")
+
+
 def conservation(marts: dict[str, DataFrame], silver: DataFrame) -> DataFrame:
     """Per mart: rows, summed transactions, and whether they equal Silver's rows."""
     rows = None

@@ -302,6 +302,8 @@ CATALOG: dict[str, Query] = {
     "enrich_customer": _enriched,
     "orphans": lambda lake: orphans(_facts_with_orphans(lake), _registered_customers(lake)),
     "late_labels": lambda lake: loads.late_labels(lake, 2001),
+    "gold_after_labels": lambda lake: loads.labelled_cube(lake, 2001),
+    "gold_after_labels_totals": lambda lake: loads.labelled_totals(lake, 2001),
     # published analyses
     "a0": lambda lake: analyses.overview(lake.cube),
     "a1a": analyses.by_segment,

@@ -7,9 +7,11 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from risklake.config import MARTS
 from risklake.functions.numeric import cents, from_cents
 from risklake.operators.enrich import silver
-from risklake.operators.labels import apply_late_labels
+from risklake.operators.labels import apply_late_labels, label_changes
+from risklake.operators.metrics import mart_deltas, merged_mart
 from risklake.plans.lakehouse import BRONZE, Lake
 from risklake.sources import incremental as inc
 from risklake.sources import raw_files
@@ -23,6 +25,7 @@ from risklake.sources.layers import (
     reprocess,
     row_funnel,
     write_layer,
+    write_small,
 )
 
 _RUN = itertools.count(1)
@@ -206,6 +209,50 @@ def late_labels(lake: Lake, year: int) -> DataFrame:
     return _fraud_by_month(read_layer(lake.spark, path))
 
 
+def corrections(lake: Lake, year: int) -> DataFrame:
+    """The late labels of a year, and frauds at points of sale that prove to be none."""
+    cleared = lake.silver.where((F.col("year") == year) & F.col("is_fraud") & (F.col("channel") == "pos"))
+    return chargebacks(lake, year).unionByName(
+        cleared.select(
+            "transaction_id", *MONTHLY, F.lit(False).alias("is_fraud"),
+            (F.col("ts") + F.make_dt_interval(days=F.lit(30))).alias("rotulado_em"),
+        )
+    )
+
+
+def labelled_gold(lake: Lake, labels: DataFrame) -> dict[str, DataFrame]:
+    """Gold after late labels, by signed changes instead of a rebuild.
+
+    The changed rows are written aside before anything else, so that Silver and Gold
+    move by the same changes however often a step is repeated. Marts are merged into
+    folders of their own: one that is read is never overwritten.
+    """
+    aside, deltas = fresh(lake, "mudancas"), fresh(lake, "deltas")
+    write_layer(label_changes(lake.silver, labels), aside)
+    write_layer(mart_deltas(read_layer(lake.spark, aside)), deltas, ("mart",), spread=False)
+    gold = fresh(lake, "gold-rotulos")
+    for name in MARTS:
+        write_small(merged_mart(lake.mart(name), read_layer(lake.spark, deltas), name), f"{gold}/{name}")
+    return {name: read_layer(lake.spark, f"{gold}/{name}") for name in MARTS}
+
+
+def labelled_cube(lake: Lake, year: int) -> DataFrame:
+    return labelled_gold(lake, corrections(lake, year))["gold_cubo_risco"]
+
+
+def labelled_totals(lake: Lake, year: int) -> DataFrame:
+    """Rows and sums of every mart after late labels."""
+    rows = None
+    for name, df in labelled_gold(lake, corrections(lake, year)).items():
+        one = df.agg(
+            F.lit(name).alias("mart"), F.count("*").alias("linhas"), F.sum("transacoes").alias("transacoes"),
+            F.sum("fraudes").alias("fraudes"), F.sum("recusas_legitimas").alias("recusas_legitimas"),
+            F.sum(cents(F.col("valor_fraude"))).alias("centavos_fraude"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 def compacted(lake: Lake, loads: int = 4) -> DataFrame:
     """A copy of raw as several small loads leave it, before and after compaction."""
     src, dst = fresh(lake, "fragmentado"), fresh(lake, "compactado")
