@@ -130,20 +130,37 @@ def _events(lake: Lake, session: SparkSession | None = None) -> DataFrame:
     return jobs.read_events(session or jobs.stream_session(lake.spark), path)
 
 
-def _closed_windows(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """All windows of the feed: those open at its end are closed by an end-of-feed event."""
+def _last_event(lake: Lake) -> str | None:
+    return lake.given("events").agg(F.max("ts").cast("timestamp_ntz").cast("string")).first()[0]
+
+
+def _ended_events(lake: Lake, name: str) -> DataFrame:
+    """The given events as a stream, and the event that ends the feed.
+
+    Both are files of the first micro-batch, which has no watermark, so the end event
+    makes none of the others late; the batch after it finds all windows closed.
+    """
     session, feed = jobs.stream_session(lake.spark), loads.fresh(lake, f"{name}-fim")
     given = lake.given("events")
     given.select(*[F.col(f.name).cast(f.dataType) for f in jobs.EVENT_SCHEMA.fields]).limit(0).write.parquet(feed)
-    out, progress = loads.fresh(lake, name), loads.fresh(lake, f"{name}-progresso")
-    last = given.agg(F.max("ts").cast("timestamp_ntz").cast("string")).first()[0]
-    for ended in (False, True):
-        if ended and last is not None:
-            jobs.end_of_feed(lake.spark, last, feed)
-        events = _events(lake, session).unionByName(jobs.read_events(session, feed))
-        stream = build(events)
-        jobs.run(stream, out, progress).awaitTermination()
-    return lake.spark.read.schema(stored_schema(stream)).parquet(out)
+    last = _last_event(lake)
+    if last is not None:
+        jobs.end_of_feed(lake.spark, last, feed)
+    return _events(lake, session).unionByName(jobs.read_events(session, feed))
+
+
+def _closed_windows(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All windows of the feed: those open at its end are closed by an end-of-feed event."""
+    return _stream(lake, name, build(_ended_events(lake, name)))
+
+
+def _stream_recent(lake: Lake) -> DataFrame:
+    """Purchases joined, as a stream, with the stream of hourly windows written as a feature table."""
+    table, progress = loads.fresh(lake, "recentes"), loads.fresh(lake, "recentes-progresso")
+    jobs.run(jobs.sliding(_ended_events(lake, "recentes-fonte")), table, progress).awaitTermination()
+    events = _ended_events(lake, "compras-fonte")
+    joined = jobs.with_recent(events, jobs.read_features(events.sparkSession, table))
+    return _stream(lake, "compras-recentes", joined)
 
 
 DELIVERIES = 4
@@ -185,7 +202,7 @@ def _stream_on_time(lake: Lake) -> DataFrame:
     windows, progress = loads.fresh(lake, "janelas-prazo"), loads.fresh(lake, "janelas-prazo-progresso")
     stream = jobs.tumbling(jobs.read_events(session, f"{out}/no_prazo"))
     jobs.run(stream, windows, progress).awaitTermination()
-    last = lake.given("events").agg(F.max("ts").cast("timestamp_ntz").cast("string")).first()[0]
+    last = _last_event(lake)
     if last is not None:
         jobs.end_of_feed(lake.spark, last, f"{out}/no_prazo/lote={DELIVERIES}")
         jobs.run(jobs.tumbling(jobs.read_events(session, f"{out}/no_prazo")), windows, progress).awaitTermination()
@@ -388,6 +405,7 @@ CATALOG: dict[str, Query] = {
     "stream_land": _stream_land,
     "stream_tumbling": lambda lake: _closed_windows(lake, "janelas", jobs.tumbling),
     "stream_sliding": lambda lake: _closed_windows(lake, "deslizantes", jobs.sliding),
+    "stream_recent": _stream_recent,
     "stream_dedup": _stream_dedup,
     "stream_late": _stream_late,
     "stream_on_time": _stream_on_time,

@@ -127,6 +127,41 @@ def sliding(events: DataFrame) -> DataFrame:
     return _named(hours.agg(*[F.sum(m).alias(m) for m in measures]))
 
 
+FEATURE_SCHEMA = T.StructType(
+    [
+        T.StructField("inicio", T.TimestampNTZType()),
+        T.StructField("fim", T.TimestampNTZType()),
+        *[T.StructField(c, T.LongType()) for c in ("user_id", "eventos", "compras", "centavos_compras")],
+    ]
+)
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """The hourly windows that `sliding` writes, as a stream."""
+    windows = spark.readStream.schema(FEATURE_SCHEMA).parquet(path)
+    return windows.withColumns({c: F.col(c).cast("timestamp") for c in ("inicio", "fim")})
+
+
+def with_recent(events: DataFrame, windows: DataFrame) -> DataFrame:
+    """Purchases with their user's activity in the last hour's window that ended at or before them.
+
+    An interval join of two streams: every ten minutes a window ends, so at most one
+    lies within ten minutes before a purchase. State on both sides is dropped behind
+    the older of the two watermarks; a purchase that waits in vain has no activity and
+    gets zeros. Events without a user meet no window. The row that ends a feed (no type,
+    no user) takes part, as it moves the watermark on, and is left out of the result by
+    a condition on both sides, which is not pushed below the watermark. An hour's last
+    windows end long after its events, so the windows need no such row.
+    """
+    bought = events.withWatermark("ts", DELAY).where("event_type = 'purchase' OR (event_type IS NULL AND user_id IS NULL)")
+    recent = windows.withWatermark("fim", DELAY).withColumnRenamed("user_id", "_user")
+    near = (F.col("user_id") == F.col("_user")) & (F.col("ts") >= F.col("fim")) & (F.col("ts") < F.col("fim") + F.expr("INTERVAL 10 MINUTES"))
+    return bought.join(recent, near, "left").where("event_type IS NOT NULL OR _user IS NOT NULL").select(
+        "event_id", "ts", "user_id", cents(F.col("value")).alias("centavos"),
+        *[F.coalesce(c, F.lit(0)).alias(f"{c}_1h") for c in ("eventos", "compras", "centavos_compras")],
+    )
+
+
 def end_of_feed(spark: SparkSession, last: object, folder: str) -> None:
     """Append one event two days after the last, which closes every window before it.
 

@@ -114,3 +114,25 @@ def test_late_rows_are_diverted_and_batches_repeatable(spark, feed, tmp_path):
     jobs.end_of_feed(spark, "2024-01-01 03:00:00", f"{out}/no_prazo/lote=99")
     windows = drain(spark, f"{out}/no_prazo", tmp_path / "janelas", jobs.tumbling)
     assert sum(r.eventos for r in windows.collect()) == 6
+
+
+def test_interval_join_over_several_batches_keeps_every_purchase(spark, feed, tmp_path):
+    """Windows that come after their purchases still meet them; purchases without one get zeros."""
+    folder, write = feed
+    table, out = str(tmp_path / "janelas"), str(tmp_path / "saida")
+    session = jobs.stream_session(spark)
+
+    def advance():
+        windows = jobs.sliding(jobs.read_events(session, folder))
+        jobs.run(windows, table, str(tmp_path / "p1")).awaitTermination()
+        joined = jobs.with_recent(jobs.read_events(session, folder), jobs.read_features(session, table))
+        jobs.run(joined, out, str(tmp_path / "p2")).awaitTermination()
+
+    write([(1, 5, 7, "purchase"), (2, 12, 7, "purchase"), (3, 20, 8, "purchase")])
+    advance()
+    write([(4, 65, 7, "purchase"), (5, 64, 7, "view"), (6, 75, 7, "purchase"), (7, 40, None, "purchase")])
+    advance()
+    jobs.end_of_feed(spark, "2024-01-01 01:15:00", folder)
+    advance()
+    got = {r.event_id: (r.eventos_1h, r.compras_1h) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (0, 0), 2: (1, 1), 3: (0, 0), 4: (2, 2), 6: (3, 2), 7: (0, 0)}
