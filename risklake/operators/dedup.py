@@ -11,8 +11,8 @@ group with a window would shuffle all rows once per check and put a hot key
    otherwise;
 3. each contested group's first row is an aggregated minimum, again combined
    map-side, so a hot group costs no more than any other;
-4. every other contested row is a duplicate: an anti join on row addresses,
-   which are unique and therefore evenly spread.
+4. every other contested row is a duplicate: an anti join on row addresses
+   (the numbers given at loading), which are unique and therefore evenly spread.
 """
 
 from __future__ import annotations

@@ -15,11 +15,12 @@ from risklake.operators.metrics import all_marts, pick_mart
 from risklake.operators.quality import evaluate, quality_rules, stage, with_flags
 from risklake.session import work_dir, written
 from risklake.sources.layers import (
+    INGEST_ID,
     MONTHLY,
-    read_addressed,
     read_layer,
     with_month,
     write_layer,
+    write_numbered,
     write_small,
 )
 from risklake.sources.raw_files import land_copy, read_raw, reconcile_bytes
@@ -53,7 +54,8 @@ class Lake:
 
     @property
     def raw(self) -> DataFrame:
-        return self.layer("raw_particionada")
+        """Raw rows as delivered, without the number they got when loaded."""
+        return self.layer("raw_particionada").drop(INGEST_ID)
 
     @property
     def bronze(self) -> DataFrame:
@@ -81,8 +83,7 @@ class Lake:
 
     def marked(self) -> DataFrame:
         """Raw rows with their duplicate flags, from the written marks."""
-        raw = read_addressed(self.spark, self.path("raw_particionada"))
-        return with_marks(raw, self.layer("work/duplicatas"))
+        return with_marks(self.layer("raw_particionada"), self.layer("work/duplicatas"))
 
     def staged(self) -> DataFrame:
         return stage(self.marked())
@@ -90,12 +91,11 @@ class Lake:
     # -- build steps -------------------------------------------------------
 
     def load_raw(self, raw: DataFrame) -> None:
-        write_layer(with_month(raw), self.path("raw_particionada"), MONTHLY)
+        write_numbered(with_month(raw), self.path("raw_particionada"))
 
     def mark_duplicates(self) -> None:
         """Written once, so rule evaluation and rule counts share the result."""
-        addressed = read_addressed(self.spark, self.path("raw_particionada"))
-        marks = duplicate_marks(addressed, keys_only=self.raw)
+        marks = duplicate_marks(self.layer("raw_particionada"), keys_only=self.raw)
         write_layer(marks, self.path("work/duplicatas"))
 
     def refine(self) -> None:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTHLY = ("year", "month")
-ROW_ADDRESS = ("_arquivo", "_linha")
+INGEST_ID = "ingest_id"
+ROW_ADDRESS = (INGEST_ID,)
 
 
 def with_month(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -52,18 +53,17 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_addressed(spark: SparkSession, path: str) -> DataFrame:
-    """A written layer plus the address of each row (file and position).
+def write_numbered(df: DataFrame, path: str, after: int = -1) -> None:
+    """Write rows by month with an ``ingest_id`` above ``after``, unique among them.
 
-    Layers are immutable once written, so the address identifies a row stably
-    across rescans and task retries without storing a surrogate key.
+    The number is the writing task's place and the row's place in it, taken after rows
+    are spread and stored with them: it needs no count or sort, is fixed once written,
+    and goes with its row through compaction, copies and moved lakes. A later load
+    passes the largest number so far; each takes up 2^33 numbers per task.
     """
-    df = spark.read.parquet(path)
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias(ROW_ADDRESS[0]),
-        F.col("_metadata.row_index").alias(ROW_ADDRESS[1]),
-    )
+    spread = df.hint("rebalance", *MONTHLY)
+    numbered = spread.withColumn(INGEST_ID, F.lit(after + 1).cast("bigint") + F.monotonically_increasing_id())
+    write_layer(numbered, path, MONTHLY, spread=False)
 
 
 def reprocess(df: DataFrame, path: str) -> None:

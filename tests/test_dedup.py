@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from risklake.operators.dedup import Check, duplicate_marks, with_marks
+from risklake.sources.layers import INGEST_ID, compact, write_numbered
 
 SCHEMA = "k bigint, v int, pos int"
 CHECKS = {"rep_k": Check(("k",), ("v",)), "rep_v": Check(("v",), ("k",))}
@@ -82,3 +83,27 @@ def test_marks_join_by_measured_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert counts == {50}
+
+
+def test_marks_survive_compaction_and_a_moved_lake(spark, lake, tmp_path):
+    """Numbers are unique, stored with the rows, and tell duplicates apart wherever the files lie."""
+    raw, marks = lake.layer("raw_particionada"), lake.layer("work/duplicatas")
+    assert raw.select(INGEST_ID).distinct().count() == raw.count() and raw.where(f"{INGEST_ID} IS NULL").count() == 0
+    moved, marks_moved = str(tmp_path / "movido/raw"), str(tmp_path / "movido/marcas")
+    compact(spark, lake.path("raw_particionada"), moved)
+    marks.coalesce(1).write.parquet(marks_moved)
+    after = with_marks(spark.read.parquet(moved), spark.read.parquet(marks_moved))
+    flags = ["transaction_id", "repete_id", "repete_conteudo"]
+    assert after.where("repete_id").count() > 0 and after.where("repete_conteudo").count() > 0
+    assert after.select(*flags).exceptAll(lake.marked().select(*flags)).count() == 0
+    assert after.count() == lake.marked().count()
+
+
+def test_later_loads_are_numbered_above_earlier_ones(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id", "2024 AS year", "CAST(1 + id % 3 AS INT) AS month")
+    write_numbered(rows, str(tmp_path / "a"))
+    top = spark.read.parquet(str(tmp_path / "a")).agg({INGEST_ID: "max"}).first()[0]
+    write_numbered(rows, str(tmp_path / "b"), after=top)
+    both = spark.read.parquet(str(tmp_path / "a")).unionByName(spark.read.parquet(str(tmp_path / "b")))
+    assert both.select(INGEST_ID).distinct().count() == 2000
+    assert spark.read.parquet(str(tmp_path / "b")).where(f"{INGEST_ID} <= {top}").count() == 0
