@@ -23,6 +23,10 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 FAN_IN = 64
 SEED = 8
+#: Repeats of one row that a task writes out by itself.
+REPEATS = 4096
+#: Different rows of one id, source and size that are numbered together, about.
+NUMBERED = 1024
 
 
 def source_targets(
@@ -184,6 +188,19 @@ def _share(copies: Column, n: Column, k: Column) -> Column:
     return F.floor((copies + n - k) / n).cast("long")
 
 
+def _unfolded(rows: DataFrame, times: str, number: str) -> DataFrame:
+    """Each row ``times`` times, numbered from 1. Long runs are dealt over the tasks in pieces."""
+    one = F.lit(1).cast("long")
+    few = rows.filter(F.col(times).between(1, REPEATS)).withColumn(number, F.explode(F.sequence(one, F.col(times))))
+    starts = F.sequence(one, F.col(times), F.lit(REPEATS).cast("long"))
+    many = rows.filter(F.col(times) > REPEATS).withColumn("_mix_start", F.explode(starts))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = many.repartition(tasks, "doc_id", "source", "_mix_start")
+    last = F.least(F.col(times), F.col("_mix_start") + (REPEATS - 1))
+    spread = spread.withColumn(number, F.explode(F.sequence(F.col("_mix_start"), last))).drop("_mix_start")
+    return few.unionByName(spread)
+
+
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """Per document: size, source_size, target of its source, and the words taken.
 
@@ -191,18 +208,51 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     items like others; an empty table has an empty result. Needs doc_id, source
     and text; other columns are ignored.
     """
-    return (
-        mix(items_of(docs), **options)
-        .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-        .select(
-            "doc_id", "size", "source_size", "target",
-            (_share(F.col("copies"), F.col("n"), F.col("k")) * F.col("size")).alias("taken"),
-        )
+    return _unfolded(mix(items_of(docs), **options), "n", "k").select(
+        "doc_id", "size", "source_size", "target",
+        (_share(F.col("copies"), F.col("n"), F.col("k")) * F.col("size")).alias("taken"),
+    )
+
+
+def _dealt(joined: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that share id, source and size, with the copies each takes (``_mix_take``).
+
+    Rows equal in all columns are folded to one with their number. The others are
+    numbered by a hash of all columns: pieces of a group by that hash, each shifted by
+    the rows of the pieces before it. The result is the same in any order of the rows.
+    """
+    key = ["_mix_doc", "_mix_source", "_mix_size"]
+    hashed = F.xxhash64(*columns)
+    rows = joined.groupBy(*columns, *key, "_mix_n", "_mix_copies").agg(F.count("*").alias("_mix_equal"))
+    rows = rows.withColumn("_mix_hash", hashed).withColumn(
+        "_mix_piece", F.pmod("_mix_hash", F.ceil(F.col("_mix_n") / NUMBERED))
+    )
+    earlier = lambda w: F.coalesce(
+        F.sum("_mix_equal").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    inside = Window.partitionBy(*key, "_mix_piece").orderBy("_mix_hash", F.xxhash64(F.lit(SEED), *columns))
+    # A row per piece of a group.
+    pieces = rows.groupBy(*key, "_mix_piece").agg(F.sum("_mix_equal").alias("_mix_equal"))
+    shift = pieces.select(
+        *[F.col(c).alias(f"{c}_of") for c in (*key, "_mix_piece")],
+        earlier(Window.partitionBy(*key).orderBy("_mix_piece")).alias("_mix_shift"),
     )
+    same = [rows[c].eqNullSafe(F.col(f"{c}_of")) for c in (*key, "_mix_piece")]
+    placed = rows.withColumn("_mix_before", earlier(inside)).join(shift, same)
+    extra = F.col("_mix_copies") % F.col("_mix_n") - F.col("_mix_before") - F.col("_mix_shift")
+    whole = F.col("_mix_equal") * F.floor(F.col("_mix_copies") / F.col("_mix_n"))
+    more = F.least(F.greatest(extra, F.lit(0)), F.col("_mix_equal"))
+    return placed.select(*columns, (whole + more).cast("long").alias("_mix_take"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, in the columns of ``docs``."""
+    """The rows of ``docs``, each as often as the mix takes it, in the columns of ``docs``.
+
+    NULL texts and texts without words are never taken. Rows that share id (also
+    NULL), source and size split their copies as evenly as whole copies allow, in
+    the order of a hash of all columns. An empty table has an empty result. Columns
+    must be of types that can be grouped (no maps).
+    """
     taken = mix(items_of(docs), **options).select(
         F.col("source").alias("_mix_source"), F.col("doc_id").alias("_mix_doc"), F.col("size").alias("_mix_size"),
         F.col("n").alias("_mix_n"), F.col("copies").alias("_mix_copies"),
@@ -214,15 +264,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         & sized["source"].eqNullSafe(F.col("_mix_source"))
         & (sized["_mix_words"] == F.col("_mix_size")),
     )
-    equal = Window.partitionBy("_mix_doc", "_mix_source", "_mix_size").orderBy(F.xxhash64("text"))
-    once = joined.filter("_mix_n = 1").withColumn("_mix_take", F.col("_mix_copies"))
-    more = joined.filter("_mix_n > 1").withColumn(
-        "_mix_take", _share(F.col("_mix_copies"), F.col("_mix_n"), F.row_number().over(equal).cast("long"))
-    )
-    rows = once.unionByName(more).filter("_mix_take > 0")
-    return rows.withColumn("_mix_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_take")))).select(
-        *docs.columns
+    once = joined.filter("_mix_n = 1").withColumn(
+        "_mix_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))
     )
+    more = _unfolded(_dealt(joined.filter("_mix_n > 1"), docs.columns), "_mix_take", "_mix_k")
+    return once.select(*docs.columns).unionByName(more.select(*docs.columns))
 
 
 def op8_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -89,3 +89,22 @@ def test_a_rare_word_costs_more_than_a_common_one_of_its_ending(spark):
     of = {r.doc_id: r.pseudo_log_likelihood for r in scored(documents(spark, texts).select("doc_id", "text")).collect()}
     n = {w: 15 for w in ("common",)} | {"zqjxmon": 1}
     assert abs((of[3] - of[4]) - np.log(n["common"] / n["zqjxmon"])) < 1e-3
+
+
+def test_word_shares_sent_or_joined_give_the_same_scores(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 900}" for _ in range(200)) for _ in range(60)]
+    df = documents(spark, texts).select("doc_id", "text").repartition(1)
+    some, none, every = ({r.doc_id: r.pseudo_log_likelihood for r in scored(df, common=c).collect()} for c in (50, 0, 1 << 16))
+    assert all(abs(some[i] - none[i]) < 1e-6 and abs(every[i] - none[i]) < 1e-6 for i in none)
+
+
+def test_logits_beyond_the_bound_are_shifted(spark):
+    rng = np.random.default_rng(6)
+    network = Network.fresh(np.ones(CLASSES))
+    context, target = rng.integers(0, CLASSES + 1, (9, len(SIDES))), rng.integers(0, CLASSES, 9)
+    near = network.log_chances(context, target)
+    network.parts[4] += np.float32(60)
+    assert np.allclose(near, network.log_chances(context, target), atol=1e-4)
+    network.parts[3] *= np.float32(400)
+    assert np.isfinite(network.log_chances(context, target)).all()

@@ -5,6 +5,7 @@ from tests.conftest import SMALL
 from tests.llm.brute import DOCUMENT, documents, words
 
 from pyspark.sql import functions as F
+from risklake.llm import mixing
 from risklake.llm.mixing import mixed_documents, mixed_sizes, op8_mix_sources
 
 
@@ -98,3 +99,32 @@ def test_documents_come_as_often_as_taken(spark):
 def test_no_python_in_the_plan(spark):
     plan = op8_mix_sources(spark, SMALL)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "ExistingRDD"))
+
+
+def test_equal_rows_leave_in_many_partitions(spark, monkeypatch):
+    """A third of all rows agree in everything, another third in id, source and size only."""
+    monkeypatch.setattr(mixing, "REPEATS", 16)
+    monkeypatch.setattr(mixing, "NUMBERED", 8)
+    texts = ["a b c"] * 400 + [f"x{i} y z" for i in range(400)] + ["d " * (1 + i % 9) for i in range(400)]
+    df = documents(spark, texts, [None] * 400 + [7] * 400 + list(range(100, 500))).withColumn("source", F.lit("s"))
+    df = df.withColumn("source", F.when(F.col("doc_id") > 200, "t").otherwise("s"))
+    sizes = mixed_sizes(df)
+    got = sizes.collect()
+    assert len(got) == 1200
+    checked(df.collect(), got)
+    held = sizes.filter("doc_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 1 and max(r["count"] for r in held) < 400
+    rows = [tuple(r) for r in mixed_documents(df).collect()]
+    again = [tuple(r) for r in mixed_documents(df.orderBy(F.rand(3)).repartition(5)).collect()]
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.doc_id] += r.taken
+    words_of = defaultdict(int)
+    for r in mixed_documents(df).collect():
+        words_of[r.doc_id] += len(words(r.text))
+    assert {k: v for k, v in taken.items() if v} == dict(words_of)
+    times = defaultdict(int)
+    for r in mixed_documents(df).filter("doc_id = 7").collect():
+        times[r.text] += 1
+    assert max(times.values()) - min([*times.values(), 9]) <= 1
