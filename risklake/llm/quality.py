@@ -1,7 +1,9 @@
 """Quality by co-training: a text-content and a page-metadata classifier teach each other.
 
-Both start from the labelled documents. In every round each view names the
-unlabelled documents it is surest of, and the other view learns them as well. At
+Both start from the labelled documents. In every round each view judges all
+unlabelled documents and names those it is surest of, and the other view learns
+them as well. The surest are found by counts of their log odds in steps, so only the
+named documents, a bounded number, leave the tasks. At
 the end the log odds of both views are weighed and calibrated on labelled
 documents that neither has seen, and all documents are scored.
 """
@@ -15,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.llm.scratch import dropped, kept
@@ -25,6 +27,8 @@ SAMPLE_ROWS = 15_000
 ROUNDS = 4
 TAUGHT_SHARE = 0.1
 SURE = 0.95
+#: Steps per unit of log odds in which the surest documents are counted.
+STEPS = 64
 _SIGNS = "!$%&*#|<>{}[]@=+~^_\\/"
 
 
@@ -151,29 +155,48 @@ class CoTrained:
         return 1 / (1 + np.exp(-self.joint.log_odds(both)))
 
 
-def co_trained(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """Fit both views. ``label`` is 1, 0, or -1 where unknown; every fourth labelled row calibrates."""
+Named = tuple[np.ndarray, np.ndarray]
+
+
+class RowPool:
+    """Unlabelled rows at hand."""
+
+    def __init__(self, views: list[np.ndarray]):
+        self.views = views
+        self.taught = [np.zeros(len(views[0]), bool) for _ in views]
+
+    def surest(self, models: list[Logistic], shares: dict[int, int]) -> list[Named]:
+        """For each view that learns: its rows that the other view is surest of, and their labels."""
+        odds, out = [m.log_odds(v) for m, v in zip(models, self.views, strict=True)], []
+        for taker, giver in ((0, 1), (1, 0)):
+            named = []
+            for value, sign in ((1, 1), (0, -1)):
+                free = np.flatnonzero(~self.taught[taker] & (sign * odds[giver] > np.log(SURE / (1 - SURE))))
+                named.append(free[np.argsort(-sign * odds[giver][free], kind="stable")[: shares[value]]])
+            chosen = np.concatenate(named)
+            self.taught[taker][chosen] = True
+            out.append((self.views[taker][chosen], np.repeat([1, 0], [len(n) for n in named])))
+        return out
+
+
+def co_trained(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS, pool=None) -> CoTrained:
+    """Fit both views. ``label`` is 1, 0, or -1 where unknown; every fourth labelled row calibrates.
+
+    Pseudo-labels come from ``pool``, by default the rows without label.
+    """
     known = np.flatnonzero(label >= 0)
     calibration, seed = known[::4], np.setdiff1d(known, known[::4])
     if len(np.unique(label[seed])) < 2 or len(np.unique(label[calibration])) < 2:
         calibration = seed = known
-    pool = np.flatnonzero(label < 0)
-    taught = [np.full(len(label), -1) for _ in views]
-    for t in taught:
-        t[seed] = label[seed]
-    models = [Logistic(penalty=3.0).fit(v[seed], label[seed]) for v in views]
+    pool = pool or RowPool([v[label < 0] for v in views])
+    rows, told = [v[seed] for v in views], [label[seed] for _ in views]
+    shares = {value: max(int(TAUGHT_SHARE * (label[seed] == value).sum()), 1) for value in (0, 1)}
+    models = [Logistic(penalty=3.0).fit(x, y) for x, y in zip(rows, told, strict=True)]
     for _ in range(rounds):
-        odds = [m.log_odds(v[pool]) for m, v in zip(models, views, strict=True)]
-        for giver, taker in ((0, 1), (1, 0)):
-            for value, sign in ((1, 1), (0, -1)):
-                share = max(int(TAUGHT_SHARE * (label[seed] == value).sum()), 1)
-                free = np.flatnonzero(taught[taker][pool] < 0)
-                sure = free[sign * odds[giver][free] > np.log(SURE / (1 - SURE))]
-                best = sure[np.argsort(-sign * odds[giver][sure], kind="stable")[:share]]
-                taught[taker][pool[best]] = value
-        models = [
-            Logistic(penalty=3.0).fit(v[t >= 0], t[t >= 0]) for v, t in zip(views, taught, strict=True)
-        ]
+        for taker, (more, values) in enumerate(pool.surest(models, shares)):
+            rows[taker] = np.concatenate([rows[taker], more])
+            told[taker] = np.concatenate([told[taker], values])
+        models = [Logistic(penalty=3.0).fit(x, y) for x, y in zip(rows, told, strict=True)]
     both = np.stack([m.log_odds(v[calibration]) for m, v in zip(models, views, strict=True)], 1)
     return CoTrained(*models, Logistic(penalty=0.1).fit(both, label[calibration]))
 
@@ -196,50 +219,146 @@ def _views(batches: Iterator[pa.RecordBatch]):
         yield part, texts, content_view(texts), metadata_view(named, bodies)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> pa.Table:
-    """Views of up to ``sample_rows`` labelled documents and as many others, chosen by hash of the id."""
-    order = F.xxhash64("doc_id", F.lit("quality"))
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-        F.min("quality").cast("long").alias("_q_label")
-    )
-    known = kept(known.orderBy(order).limit(sample_rows), "quality-labels")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
-    others = ids.distinct().join(labels.select("doc_id"), "doc_id", "left_anti").orderBy(order).limit(sample_rows)
-    wanted = kept(known.unionByName(others.withColumn("_q_label", F.lit(-1).cast("long"))), "quality-sample")
-    chosen = _given(docs.select(*[c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns]))
-    chosen = chosen.join(F.broadcast(wanted), "doc_id").drop("text", "source", "lang", "n_chars")
+def _fraction(*columns: str) -> Column:
+    """A number in [0, 1) that depends on the columns alone."""
+    return F.shiftrightunsigned(F.xxhash64(*columns, F.lit("quality")), 11).cast("double") * 2.0**-53
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """What the views read of each document, and a hash that tells its texts apart."""
+    has = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
+    given = _given(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *has)).drop(*has)
+    return given.withColumn("_q_hash", F.xxhash64("_q_text"))
+
+
+def _fetched(given: DataFrame, wanted: DataFrame) -> pa.Table:
+    """Both views of the wanted texts (doc_id, _q_hash, _q_code), a few thousand, one row each.
+
+    Copies are folded before they leave their tasks; of differing metadata the least counts.
+    """
+    w = F.broadcast(wanted.select(F.col("doc_id").alias("_w_id"), F.col("_q_hash").alias("_w_hash"), "_q_code"))
+    found = given.join(w, given.doc_id.eqNullSafe(F.col("_w_id")) & (given["_q_hash"] == F.col("_w_hash")))
+    one = found.groupBy("doc_id", "_q_hash", "_q_code").agg(
+        F.min(F.struct("_q_source", "_q_lang", "_q_n_chars")).alias("about"), F.first("_q_text").alias("_q_text")
+    ).select("doc_id", "_q_hash", "_q_code", "about.*", "_q_text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, content, metadata in _views(batches):
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), part.column("_q_label"),
+                [*(part.column(c) for c in ("doc_id", "_q_hash", "_q_code")),
                  pa.array(list(content), pa.list_(pa.float32())), pa.array(list(metadata), pa.list_(pa.float32()))],
-                names=["doc_id", "label", "content", "metadata"],
+                names=["doc_id", "hash", "code", "content", "metadata"],
             )
 
-    schema = "doc_id long, label long, content array<float>, metadata array<float>"
-    table = by_arrow(chosen, task, schema).toArrow()
-    dropped(known, wanted)
-    return table.sort_by("doc_id")
+    table = by_arrow(one, task, "doc_id long, hash long, code int, content array<float>, metadata array<float>").toArrow()
+    return table.sort_by([("doc_id", "ascending"), ("hash", "ascending"), ("code", "ascending")])
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> CoTrained | float:
-    """The classifier; the share of good labels where the sample has labels of one kind only."""
-    table = _sample(docs, labels, sample_rows)
-    label = table["label"].to_numpy()
-    if len(np.unique(label[label >= 0])) < 2:
-        return float(label[label >= 0].mean()) if (label >= 0).any() else 1.0
+def _both_views(table: pa.Table) -> list[np.ndarray]:
     wide = lambda c, n: table[c].combine_chunks().flatten().to_numpy().reshape(-1, n)
-    return co_trained([wide("content", N_CONTENT), wide("metadata", N_METADATA)], label)
+    return [wide("content", N_CONTENT), wide("metadata", N_METADATA)]
+
+
+class CorpusPool:
+    """All documents whose id has no label, judged in Spark every round."""
+
+    def __init__(self, given: DataFrame, known: DataFrame):
+        self.given, self.known = given, known
+        self.taught: list[tuple[int | None, int, int]] = []
+
+    def _sure(self, models: list[Logistic]) -> DataFrame:
+        """Texts that a view (giver) is sure of and has not named before, with the label and the step of the log odds."""
+        shared = self.given.sparkSession.sparkContext.broadcast(models)
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, _, content, metadata in _views(batches):
+                odds = [m.log_odds(v) for m, v in zip(shared.value, (content, metadata), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("_q_hash"), *map(pa.array, odds)],
+                    names=["doc_id", "_q_hash", "content", "metadata"],
+                )
+
+        odds = kept(by_arrow(self.given, task, "doc_id long, _q_hash long, content double, metadata double"), "quality-odds")
+        shared.destroy()
+        one = odds.groupBy("doc_id", "_q_hash").agg(F.min("content").alias("content"), F.min("metadata").alias("metadata"))
+        free = one.join(self.known.select("doc_id"), "doc_id", "left_anti")
+        givers = F.array(*(F.struct(F.lit(k).alias("giver"), F.col(c).alias("odds")) for k, c in enumerate(("content", "metadata"))))
+        sure = free.select("doc_id", "_q_hash", F.explode(givers).alias("g")).select(
+            "doc_id", "_q_hash", "g.giver", (F.col("g.odds") > 0).cast("int").alias("value"),
+            F.floor(F.abs("g.odds") * STEPS).cast("int").alias("step"), F.abs("g.odds").alias("odds"),
+        ).filter(F.col("odds") > float(np.log(SURE / (1 - SURE))))
+        if self.taught:
+            before = self.given.sparkSession.createDataFrame(self.taught, "t_id long, t_hash long, t_giver int")
+            same = sure.doc_id.eqNullSafe(before.t_id) & (sure["_q_hash"] == before.t_hash) & (sure.giver == before.t_giver)
+            sure = sure.join(F.broadcast(before), same, "left_anti")
+        sure = kept(sure.drop("odds"), "quality-sure")
+        dropped(odds)
+        return sure
+
+    def surest(self, models: list[Logistic], shares: dict[int, int]) -> list[Named]:
+        """As ``RowPool.surest``; of equally sure documents in the last step a share is drawn by hash."""
+        sure = self._sure(models)
+        held, chosen = {}, F.lit(False)
+        counts = sure.groupBy("giver", "value", "step").count().orderBy(F.col("step").desc()).collect()  # a few thousand rows
+        for r in counts:
+            have = held.get((r.giver, r.value), 0)
+            part = min((shares[r.value] - have) / r["count"], 1.0)
+            if part > 0:
+                at = (F.col("giver") == r.giver) & (F.col("value") == r.value)
+                if part < 1 or have + r["count"] == shares[r.value]:
+                    last = (F.col("step") == r.step) & (_fraction("doc_id", "_q_hash") < part)
+                    chosen = chosen | (at & ((F.col("step") > r.step) | last))
+                held[r.giver, r.value] = have + r["count"]
+        for (giver, value), have in held.items():
+            if have < shares[value]:
+                chosen = chosen | ((F.col("giver") == giver) & (F.col("value") == value))
+        code = (F.col("giver") * 2 + F.col("value")).cast("int")
+        named = kept(sure.filter(chosen).select("doc_id", "_q_hash", code.alias("_q_code")), "quality-named")
+        table = _fetched(self.given, named)
+        dropped(sure, named)
+        codes, views = table["code"].to_numpy(), _both_views(table)
+        self.taught += list(zip(table["doc_id"].to_pylist(), table["hash"].to_pylist(), (codes // 2).tolist(), strict=True))
+        return [(views[taker][codes // 2 == 1 - taker], codes[codes // 2 == 1 - taker] % 2) for taker in (0, 1)]
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> CoTrained | float:
+    """The classifier; the share of good labels where the sample has labels of one kind only.
+
+    About ``sample_rows`` labelled ids are drawn by hash, one text of each; all
+    documents without label take part in the rounds.
+    """
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min("quality").cast("int").alias("_q_code")
+    )
+    known = kept(known, "quality-labels")
+    share = min(sample_rows / max(known.count(), 1), 1.0)
+    drawn = F.broadcast(known.filter(_fraction("doc_id") < share))
+    given = _judged(docs)
+    least = given.join(drawn, "doc_id").groupBy("doc_id").agg(
+        F.min("_q_hash").alias("_q_hash"), F.first("_q_code").alias("_q_code")
+    )
+    wanted = kept(least, "quality-sample")
+    table = _fetched(given, wanted)
+    label = table["code"].to_numpy()
+    if len(np.unique(label)) < 2:
+        found = float(label.mean()) if len(label) else 1.0
+    else:
+        free = not given.join(known, "doc_id", "left_anti").isEmpty()
+        found = co_trained(_both_views(table), label, ROUNDS if free else 0, CorpusPool(given, known))
+    dropped(known, wanted)
+    return found
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``quality_score``, the chance of label 1, replacing a column of that name.
 
-    The models are fitted on up to ``sample_rows`` labelled and as many other
-    documents; all documents are scored, by their whole texts. Texts without words
-    have the score 0. Without labels every other document has the score 1. Needs
-    doc_id and text; source, lang and n_chars count as NULL where missing.
+    The models start from about ``sample_rows`` labelled documents; all documents
+    without label are judged in every round, and all documents are scored, by their
+    whole texts. Texts without words have the score 0. Without labels every other
+    document has the score 1. Of a repeated id one text is sampled, of repeated labels
+    the least counts; rows without id are documents without label, labels without id
+    are none. An empty table has an empty result. Needs doc_id and text; source, lang
+    and n_chars count as NULL where missing.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, sample_rows))
     others = [c for c in docs.columns if c != "quality_score"]

@@ -4,7 +4,9 @@ import numpy as np
 from tests.conftest import MEDIUM
 from tests.llm.brute import documents
 
-from risklake.llm.quality import Logistic, co_trained, op2_quality, quality
+from pyspark.sql import functions as F
+from risklake.llm import quality as module
+from risklake.llm.quality import STEPS, CorpusPool, Logistic, co_trained, op2_quality, quality
 
 LABEL = "doc_id long, quality int, toxic int"
 
@@ -53,3 +55,44 @@ def test_nulls_empty_and_missing_columns(spark):
     assert quality(df.select("doc_id", "text"), labels).columns == ["doc_id", "text", "quality_score"]
     assert quality(df.limit(0), labels).count() == 0
     assert {r.quality_score for r in quality(df, labels.limit(0)).filter("doc_id < 60").collect()} == {1.0}
+
+
+def test_the_surest_of_all_unlabelled_documents_are_named(spark):
+    """Against a sort of all log odds: no named document is less sure by more than a step."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    given = module._judged(docs.unionByName(docs.limit(3)).repartition(3))
+    known = spark.range(0, 1000, 3).select(F.col("id").alias("doc_id"))
+    every = module._fetched(given, given.select("doc_id", "_q_hash", F.lit(0).alias("_q_code")).distinct())
+    ids, views = np.array(every["doc_id"].to_pylist()), module._both_views(every)
+    y = (np.arange(len(ids)) % 2).astype(int)
+    y[views[0][:, 0] > np.median(views[0][:, 0])] = 1
+    models = [Logistic(penalty=0.1).fit(v, y) for v in views]
+    odds = [m.log_odds(v) for m, v in zip(models, views, strict=True)]
+    labelled = {r.doc_id for r in known.collect()}
+    free = np.array([i not in labelled for i in ids])
+    pool, seen, shares = CorpusPool(given, known), set(), {0: 7, 1: 12}
+    for call in range(2):
+        before = len(pool.taught)
+        taught = pool.surest(models, shares)
+        new = pool.taught[before:]
+        assert len(new) == sum(len(values) for _, values in taught)
+        for giver in (0, 1):
+            of = np.array([i for i, _, g in new if g == giver], dtype=int)
+            assert not labelled & set(of.tolist()) and not {(i, giver) for i in of.tolist()} & seen
+            named = odds[giver][np.isin(ids, of)]
+            for value, sign in ((1, 1), (0, -1)):
+                sure = np.sort(sign * odds[giver][free & (sign * odds[giver] > np.log(19))])[::-1]
+                got = sign * named[sign * named > 0]
+                if len(got):
+                    assert got.min() >= sure[min(len(sure), shares[value] * (call + 2)) - 1] - 1 / STEPS
+                if call == 0 and len(sure) <= shares[value]:
+                    assert len(got) == len(sure)
+            seen |= {(i, giver) for i in of.tolist()}
+    assert seen
+
+
+def test_rows_of_a_sampled_id_are_folded(spark):
+    df = documents(spark, ["a b c."] * 500 + ["x y z!"] * 300 + ["### $$"], [1] * 800 + [2])
+    given = module._judged(df.repartition(4))
+    wanted = given.select("doc_id", "_q_hash", F.lit(1).alias("_q_code")).distinct()
+    assert module._fetched(given, wanted).num_rows == 3
