@@ -260,25 +260,45 @@ def _both_views(table: pa.Table) -> list[np.ndarray]:
 
 
 class CorpusPool:
-    """All documents whose id has no label, judged in Spark every round."""
+    """All documents whose id has no label, judged in Spark every round by views written once."""
 
     def __init__(self, given: DataFrame, known: DataFrame):
         self.given, self.known = given, known
+        self.views: DataFrame | None = None
         self.taught: list[tuple[int | None, int, int]] = []
 
+    def _written(self) -> DataFrame:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, _, *views in _views(batches):
+                rows = [pa.array([r.tobytes() for r in v], pa.binary()) for v in views]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("_q_hash"), *rows], names=["doc_id", "_q_hash", "content", "metadata"]
+                )
+
+        return kept(by_arrow(self.given, task, "doc_id long, _q_hash long, content binary, metadata binary"), "quality-views")
+
+    def close(self) -> None:
+        if self.views is not None:
+            dropped(self.views)
+
     def _sure(self, models: list[Logistic]) -> DataFrame:
         """Texts that a view (giver) is sure of and has not named before, with the label and the step of the log odds."""
         shared = self.given.sparkSession.sparkContext.broadcast(models)
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, _, content, metadata in _views(batches):
-                odds = [m.log_odds(v) for m, v in zip(shared.value, (content, metadata), strict=True)]
+            for part in batches:
+                rows = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.float32) for c in ("content", "metadata")]
+                odds = [m.log_odds(v.reshape(len(part), -1)) for m, v in zip(shared.value, rows, strict=True) if len(part)]
+                if not odds:
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("_q_hash"), *map(pa.array, odds)],
                     names=["doc_id", "_q_hash", "content", "metadata"],
                 )
 
-        odds = kept(by_arrow(self.given, task, "doc_id long, _q_hash long, content double, metadata double"), "quality-odds")
+        if self.views is None:
+            self.views = self._written()
+        odds = kept(by_arrow(self.views, task, "doc_id long, _q_hash long, content double, metadata double"), "quality-odds")
         shared.destroy()
         one = odds.groupBy("doc_id", "_q_hash").agg(F.min("content").alias("content"), F.min("metadata").alias("metadata"))
         free = one.join(self.known.select("doc_id"), "doc_id", "left_anti")
@@ -344,7 +364,9 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
         found = float(label.mean()) if len(label) else 1.0
     else:
         free = not given.join(known, "doc_id", "left_anti").isEmpty()
-        found = co_trained(_both_views(table), label, ROUNDS if free else 0, CorpusPool(given, known))
+        pool = CorpusPool(given, known)
+        found = co_trained(_both_views(table), label, ROUNDS if free else 0, pool)
+        pool.close()
     dropped(known, wanted)
     return found
 
