@@ -41,10 +41,13 @@ MOST_LINES = 1000
 
 
 def _quote_states(line: Column) -> tuple[Column, Column]:
-    """Whether the line ends inside quotes if it starts outside, and if it starts inside."""
-    closes = line.rlike(_CLOSES)
+    """Whether the line ends inside quotes if it starts outside, and if it starts inside.
+
+    A line without a quote keeps the state it starts in; it is not searched further.
+    """
+    quoted, closes = line.contains('"'), line.rlike(_CLOSES)
     rest = F.regexp_replace(line, _CLOSES, "")
-    return line.rlike(_OPENS), ~closes | rest.rlike(_OPENS)
+    return quoted & line.rlike(_OPENS), ~quoted | ~closes | rest.rlike(_OPENS)
 
 
 def _ordered_lines(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
@@ -80,14 +83,22 @@ def _records(lines: DataFrame) -> DataFrame:
     """Records of files in which cells run over line ends; each file may be split into many ranges.
 
     A line turns the quote state it starts in into the one it ends in: it keeps it,
-    flips it, or sets it. Every range composes its lines under either starting state;
-    a pass over the ranges of a file, one row each, then tells the state each starts in.
+    flips it, or sets it. Only lines that do not keep it are put in order, by number and
+    without their text. Every range composes them under either starting state; a pass over
+    the ranges of a file, one row each, then tells the state each starts in. Lines of a
+    range are numbered one after the other, so a record is an interval of numbers.
     """
     whole = ["_file", "_range"]
     opens, stays = F.col("_opens"), F.col("_stays")
-    flips = (opens & ~stays).cast("int")
-    inside = Window.partitionBy(*whole).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    turned = lines.withColumn("_flips", F.sum(flips).over(inside))
+    earlier = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = lines.groupBy(*whole).agg(F.min("_at").alias("_from"), F.count("*").alias("_size"))
+    # A range is named by its first line's number; its base counts the file's lines before it.
+    ranges = written(ranges.select("*", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base")), "faixas")
+    turning = lines.where(opens | ~stays).select(*whole, "_at", "_opens", "_stays")
+    turning = turning.join(ranges, whole).select("_from", "_at", "_opens", "_stays")
+    order = Window.partitionBy("_from").orderBy("_at")
+    inside = order.rowsBetween(Window.unboundedPreceding, 0)
+    turned = turning.withColumn("_flips", F.sum((opens & ~stays).cast("int")).over(inside))
     # What the last line that sets the state set it to, and the flips up to there.
     sets = F.when(opens == stays, F.struct(opens.cast("int").alias("v"), F.col("_flips").alias("f")))
     turned = turned.withColumn("_set", F.last(sets, ignorenulls=True).over(inside))
@@ -96,11 +107,9 @@ def _records(lines: DataFrame) -> DataFrame:
         since = F.col("_flips") - F.coalesce(F.col("_set.f"), F.lit(0))
         return (F.coalesce(F.col("_set.v"), start) + since) % 2
 
-    turned = turned.select("value", *whole, "_at", ends(F.lit(0)).alias("_end0"), ends(F.lit(1)).alias("_end1"))
-    of_range = turned.groupBy(*whole).agg(*[F.max_by(c, "_at").alias(c) for c in ("_end0", "_end1")])
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("_range", "_end0", "_end1"))), lambda r: r
-    )
+    turned = written(turned.select("_from", "_at", ends(F.lit(0)).alias("_end0"), ends(F.lit(1)).alias("_end1")), "viradas")
+    of_range = turned.groupBy("_from").agg(*[F.max_by(c, "_at").alias(c) for c in ("_end0", "_end1")])
+    ordered = F.array_sort(F.collect_list(F.struct("_base", "_from", "_end0", "_end1")))
     # One row per range, so the list of a file is as short as it has ranges.
     step = F.aggregate(
         "_ranges",
@@ -110,31 +119,39 @@ def _records(lines: DataFrame) -> DataFrame:
         ),
     )
     starts = (
-        of_range.groupBy("_file").agg(ordered.alias("_ranges"))
-        .select("_file", F.inline(F.arrays_zip(F.col("_ranges._range").alias("_range"), step.alias("_start"))))
-        .where("_range IS NOT NULL")
+        of_range.join(ranges, "_from").groupBy("_file").agg(ordered.alias("_ranges"))
+        .select(F.inline(F.arrays_zip(F.col("_ranges._from").alias("_from"), step.alias("_start"))))
+        .where("_from IS NOT NULL")
     )
-    before = Window.partitionBy(*whole).orderBy("_at")
-    known = turned.join(starts, whole).withColumn("_ends", F.when(F.col("_start") == 0, F.col("_end0")).otherwise(F.col("_end1")))
-    known = known.withColumn("_begins", F.coalesce(F.lag("_ends").over(before), F.col("_start")) == 0)
-    # A record is named by the range and place of its first line; a range's lines before
-    # any first line belong to the last record of an earlier range.
-    first = F.when(F.col("_begins"), F.struct("_range", "_at"))
-    known = known.withColumn("_record", F.last(first, ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    known = written(known.select("value", *whole, "_at", "_ends", "_record"), "linhas-citadas")
-    last = known.groupBy(*whole).agg(F.max("_record").alias("_last"))
-    earlier = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(*whole, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    named = known.join(carried, whole).withColumn("_record", F.coalesce("_record", "_carried")).drop("_carried")
-    sizes = named.groupBy("_file", "_record").agg(
-        F.count("*").alias("_lines"), F.max_by("_ends", F.struct("_range", "_at")).alias("_open")
+    known = turned.join(starts, "_from").withColumn("_ends", F.when(F.col("_start") == 0, F.col("_end0")).otherwise(F.col("_end1")))
+    known = known.withColumn("_begins", F.coalesce(F.lag("_ends").over(order), F.col("_start")))
+    # What is left opens and closes by turns.
+    known = known.where("_begins <> _ends").withColumn("_close", F.lead("_at").over(order))
+    turns = written(known.select("_from", "_at", "_ends", "_close"), "aspas")
+    opened = turns.where("_ends = 1")
+    near = opened.where(F.col("_close") - F.col("_at") < MOST_LINES).select(
+        F.col("_at").alias("_record"), F.posexplode(F.sequence("_at", "_close")).alias("_place", "_at")
     )
-    good = (F.col("_open") == 0) & F.col("_lines").between(2, MOST_LINES)
-    several = written(sizes.where(good).select("_file", "_record"), "registros-citados")
-    joined = named.join(several, ["_file", "_record"]).groupBy("_file", "_record").agg(
-        F.array_sort(F.collect_list(F.struct("_range", "_at", "value"))).alias("_l")
+    # What a range leaves open, once at most, closes with the first turn of a later range.
+    first = turns.groupBy("_from").agg(F.min("_at").alias("_first")).join(ranges, "_from")
+    later = Window.partitionBy("_file").orderBy("_base")
+    closing = F.lead(F.col("_first") - F.col("_from") + F.col("_base")).over(later)
+    left_open = opened.where("_close IS NULL").join(first.select("_file", "_from", "_base", closing.alias("_q")), "_from")
+    left_open = left_open.select(
+        "_file", F.col("_at").alias("_record"), (F.col("_at") - F.col("_from") + F.col("_base")).alias("_p"), "_q"
+    ).where(F.col("_q") - F.col("_p") < MOST_LINES)
+    pieces = left_open.join(ranges, "_file").where("_base <= _q AND _base + _size > _p")
+    a = F.col("_from") + F.greatest(F.col("_p") - F.col("_base"), F.lit(0))
+    z = F.col("_from") + F.least(F.col("_q") - F.col("_base"), F.col("_size") - 1)
+    skipped = F.greatest(F.col("_base") - F.col("_p"), F.lit(0))
+    far = pieces.select("_record", skipped.alias("_skipped"), F.posexplode(F.sequence(a, z)).alias("_place", "_at"))
+    far = far.select("_record", (F.col("_skipped") + F.col("_place")).cast("int").alias("_place"), "_at")
+    members = written(near.unionByName(far), "registros-citados")
+    texts = lines.select("value", "_at")
+    joined = texts.join(members, "_at").groupBy("_record").agg(
+        F.array_sort(F.collect_list(F.struct("_place", "value"))).alias("_l")
     )
-    alone = named.join(several, ["_file", "_record"], "left_anti").select("value")
+    alone = texts.join(members.select("_at"), "_at", "left_anti").select("value")
     return alone.unionByName(joined.select(F.array_join(F.col("_l.value"), "\n").alias("value")))
 
 
@@ -170,8 +187,11 @@ def read_as_text(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "multiLine": "true"},
     )
     lines = record_lines(spark, path).where(F.col("value") != "")
-    cells = lines.select(parsed.alias("_r")).select("_r.*")
-    is_header = F.array(*[F.col(n) for n in schema.names]).eqNullSafe(F.array(*[F.lit(n) for n in schema.names]))
+    # Inlined, so that each record is parsed once and not again for each cell that a filter names.
+    cells = lines.select(F.inline(F.array(parsed)))
+    is_header = F.col(schema.names[0]).eqNullSafe(F.lit(schema.names[0])) & F.array(
+        *[F.col(n) for n in schema.names]
+    ).eqNullSafe(F.array(*[F.lit(n) for n in schema.names]))
     return cells.where(~is_header)
 
 

@@ -257,3 +257,24 @@ def test_lines_in_another_order_are_not_the_same_file(spark, tmp_path):
     (tmp_path / "b" / "x.csv").write_text("2,b,2\n1,a,1\n")
     digests = {file_digests(spark, str(tmp_path / d), NOTE).first().resumo for d in "ab"}
     assert len(digests) == 2
+
+
+def test_records_over_many_ranges_of_a_file(spark, tmp_path):
+    """Cells over two to four lines, some over the end of a range, and lines that only keep the state."""
+    cells = {k: "x\n" * (k % 4) + f"y{k}" for k in range(400)}
+    lines = [raw_files.header_line()]
+    lines += [f'{k},1,2.0,compra,app,saude,2025-02-03 04:05:06,approved,1.0,"{v}",500,1' for k, v in cells.items()]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        good, bad = raw_files.read_raw(spark, str(tmp_path))
+        assert {r.transaction_id: r.segment for r in good.collect()} == cells and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_record_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(raw_files.header_line() + "\n")
+    good, _ = raw_files.read_raw(spark, str(tmp_path))
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
