@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from functools import reduce
 
@@ -18,11 +19,13 @@ from risklake.config import INDICATORS, NUMERIC_FEATURES
 from risklake.functions.numeric import round_half
 from risklake.operators.ranking import auc, separation
 from risklake.plans.lakehouse import Lake
+from risklake.session import work_dir
 from risklake.sources.layers import write_layer
 
 FEATURES = (*INDICATORS, *NUMERIC_FEATURES)
 SPLIT_SALT = "42"
 TRAIN_PERCENT = 80
+_FIT = itertools.count(1)
 
 
 def features(silver: DataFrame) -> DataFrame:
@@ -82,6 +85,12 @@ def fit(train: DataFrame, columns: Sequence[str] = FEATURES) -> PipelineModel:
     return estimator(columns).fit(train)
 
 
+def stored_model(model: PipelineModel, path: str) -> PipelineModel:
+    """The model as read back: coefficients alone, without the rows and summary of its training."""
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     return scored.withColumn("p_fraude", vector_to_array("probability")[1])
@@ -138,12 +147,14 @@ def cross_validated(df: DataFrame, folds: int = 3) -> DataFrame:
     """Mean and spread of the exact ROC area over id-hashed folds.
 
     One fold after the other is left out; each fit is a distributed job of its own, and
-    all left-out rows are scored and ranked together.
+    all left-out rows are scored and ranked together, by models that were
+    stored and read back, so that tasks carry coefficients and not a training's summary.
     """
+    run = f"{work_dir(df.sparkSession)}/modelos/{next(_FIT)}"
     folded = df.withColumn("_fold", (hash_percent("transaction_id", "fold") % folds).cast("int"))
     scored = []
     for k in range(folds):
-        fitted = fit(folded.where(F.col("_fold") != k))
+        fitted = stored_model(fit(folded.where(F.col("_fold") != k)), f"{run}-{k}")
         left_out = score(fitted, folded.where(F.col("_fold") == k))
         scored.append(left_out.select("_fold", "is_fraud", "p_fraude"))
     areas = auc(reduce(DataFrame.unionByName, scored), ["p_fraude"], "is_fraud", by=["_fold"])
@@ -247,8 +258,7 @@ def feature_table(lake: Lake, train: bool | None = None) -> DataFrame:
 def lake_model(lake: Lake) -> PipelineModel:
     path, key = lake.path("work/model"), (lake.root, lake.version)
     if key not in _MODELS:
-        fit(feature_table(lake, True)).write().overwrite().save(path)
-        _MODELS[key] = PipelineModel.load(path)
+        _MODELS[key] = stored_model(fit(feature_table(lake, True)), path)
     return _MODELS[key]
 
 

@@ -101,3 +101,11 @@ def test_balance_notices_another_model(medium_lake):
     assert all(r.equilibrada for r in model.score_balance(rows).collect())
     off = rows.withColumn("p_fraude", F.col("p_fraude") * 1.01)
     assert not any(r.equilibrada for r in model.score_balance(off).collect())
+
+
+def test_folds_are_scored_by_stored_models(lake, monkeypatch):
+    """A fitted model drags its training along into the tasks that score with it."""
+    used, score = [], model.score
+    monkeypatch.setattr(model, "score", lambda fitted, df: used.append(fitted.stages[-1].hasSummary) or score(fitted, df))
+    model.cross_validated(model.feature_table(lake))
+    assert used == [False] * 3
