@@ -263,15 +263,17 @@ def file_digests(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
     moved, lost or repeated byte changes it. Only hashes and lengths are shuffled.
     """
     lines = _ordered_lines(spark, path, "\n").select(
-        "_file", "_range", "_at", (F.octet_length("value").cast("bigint") + 1).alias("_n"),
+        "_file", "_range", F.xxhash64("_file", "_range").alias("_key"), "_at",
+        (F.octet_length("value").cast("bigint") + 1).alias("_n"),
         F.xxhash64(F.col("value").cast("binary")).alias("_h"),
         (F.rtrim("value", F.lit("\r")) != header_line(schema)).alias("_data"),
     )
-    ranges = lines.groupBy("_file", "_range").agg(F.sum("_n").alias("_size"))
+    # Lines are shuffled by a number for their range: its names are longer than all the rest.
+    ranges = lines.groupBy("_file", "_range", "_key").agg(F.sum("_n").alias("_size"))
     before = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("_file", "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_file", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("_offset", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(ranges, ["_file", "_range"])
+    ranges = ranges.select("_file", "_key", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.drop("_file", "_range").withColumn("_offset", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(ranges, "_key")
     placed = placed.withColumn("_offset", F.col("_offset") + F.col("_base"))
     leaves = placed.groupBy("_file", F.floor(F.col("_offset") / DIGEST_BYTES).alias("_leaf")).agg(
         F.sum(F.xxhash64("_h", "_offset").cast("decimal(38,0)")).cast("string").alias("_d"),
