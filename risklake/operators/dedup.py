@@ -5,14 +5,16 @@ group with a window would shuffle all rows once per check and put a hot key
 (many rows without an id, say) into one task. Instead, for all checks together:
 
 1. one pass over the key columns counts rows per key hash, combined map-side;
-2. one pass over the rows keeps those whose hash was seen more than once. The
-   contested hashes are a written table, so the planner knows their size before
-   it plans the join: broadcast while small, sort-merge with skew splitting
-   otherwise;
-3. each contested group's first row is an aggregated minimum, again combined
+2. the contested hashes, seen more than once, become one bitmap of up to
+   ``SKETCH_BITS`` bits, a broadcast bounded at any size. Rows whose two bits are set
+   are looked at further; bits shared by chance only add a group of one row;
+3. each such group's first row is an aggregated minimum, again combined
    map-side, so a hot group costs no more than any other;
-4. every other contested row is a duplicate: an anti join on row addresses
-   (the numbers given at loading), which are unique and therefore evenly spread.
+4. every other contested row is a duplicate: candidates and firsts are counted by
+   row address (the number given at loading), unique and therefore evenly spread.
+
+Marks meet the rows as bitmaps too, one per 32,768 addresses and check, so that
+whole rows stay where they are.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.config import CONTENT_KEY
@@ -61,6 +63,16 @@ CHECKS: dict[str, Check] = {
 }
 
 
+#: Key hashes are counted by this many bits, which shuffle shorter than 64.
+HASH_BITS = 40
+#: Sketch bits per contested hash, and the most sent to the tasks (128 MB).
+BITS_PER_HASH = 12
+SKETCH_BITS = 1 << 30
+#: Most blocks of marks sent to the tasks: 8 KB each, 537 million rows' worth.
+BROADCAST_BLOCKS = 1 << 14
+BLOCK_BITS = 1 << 15
+
+
 def duplicate_marks(
     df: DataFrame,
     checks: Mapping[str, Check] = CHECKS,
@@ -70,77 +82,130 @@ def duplicate_marks(
     """One row per duplicate: its address and a flag per check it fails.
 
     NULL keys form one group. Ties on the order fall back to the row address, so
-    exactly one row of every group survives. ``keys_only`` may supply the same
-    rows without addresses, so that the first pass reads the keys alone.
+    exactly one row of every group survives. ``df`` is read several times and must be
+    stored rows. ``keys_only`` may supply the same rows without addresses, so that the
+    first pass reads the keys alone.
     """
     names = list(checks)
     source = df if keys_only is None else keys_only
-    pairs = F.array(
-        *[
-            F.struct(F.lit(n).alias("_check"), F.xxhash64(*checks[n].key).alias("_h"))
-            for n in names
-        ]
-    )
     contested = written(
-        source.select(F.inline(pairs))
-        .groupBy("_check", "_h")
+        source.select(F.explode(F.array(*[_hash(n, checks[n]) for n in names])).alias("_h"))
+        .groupBy("_h")
         .agg(F.count("*").alias("_n"))
         .where("_n > 1")
-        .select("_check", "_h"),
+        .select("_h"),
         "contestados",
     )
-    used = dict.fromkeys(c for check in checks.values() for c in (*check.key, *check.order))
-    columns = [c for c in df.columns if c in used or c in address]
-    suspects = df.select(
-        *columns, *[F.xxhash64(*checks[n].key).alias(f"_h_{n}") for n in names]
-    )
+    wanted = -(-contested.count() * BITS_PER_HASH // BLOCK_BITS)
+    blocks = F.lit(max(1, min(wanted, SKETCH_BITS // BLOCK_BITS)))
+    spots = F.explode(F.array(*_spots("_h", blocks))).alias("_p")
+    sketch = written(_blocks(contested.select(spots, F.lit(True).alias("_v")), "_p", ["_v"]), "contestados-bits")
+
+    def suspects(name: str, columns: Sequence[str]) -> DataFrame:
+        """Rows whose hash is in the sketch: all contested ones, and a few by chance."""
+        first, second = _spots("_h", blocks)
+        placed = df.select(*columns, _hash(name, checks[name]).alias("_h"))
+        placed = placed.select(*columns, first.alias("_p"), second.alias("_q"))
+        placed = placed.withColumn("_bloco", F.bitmap_bucket_number("_p"))
+        met = placed.join(F.broadcast(sketch), "_bloco")
+        return met.where(_bit("_v", "_p") & _bit("_v", "_q")).select(*columns)
+
+    # One row per suspect and one per first of a group: a suspect that is no first is a duplicate.
+    sides = []
     for n in names:
-        mine = contested.where(F.col("_check") == n).select(
-            F.col("_h").alias(f"_h_{n}"), F.lit(True).alias(f"_em_{n}")
-        )
-        suspects = suspects.join(mine, f"_h_{n}", "left")
-    flagged = [F.coalesce(f"_em_{n}", F.lit(False)).alias(f"_em_{n}") for n in names]
-    candidates = written(
-        suspects.select(*columns, *flagged).where(" OR ".join(f"_em_{n}" for n in names)),
-        "candidatos",
-        gather=True,
-    )
-    failed = [
-        _all_but_first(candidates.where(F.col(f"_em_{n}")), checks[n], address).select(
-            *address, *[F.lit(m == n).alias(m) for m in names]
-        )
-        for n in names
-    ]
+        check = checks[n]
+        used = list(dict.fromkeys((*check.key, *check.order, *address)))
+        for side, first in ((suspects(n, address), False), (_first(suspects(n, used), check, address), True)):
+            sides.append(side.select(*address, F.lit(names.index(n)).alias("_c"), F.lit(first).alias("_f")))
+    place = {n: F.col("_c") == i for i, n in enumerate(names)}
+    duplicate = {n: F.count_if(at & ~F.col("_f")) > F.count_if(at & F.col("_f")) for n, at in place.items()}
     return (
-        reduce(DataFrame.unionByName, failed)
+        reduce(DataFrame.unionByName, sides)
         .groupBy(*address)
-        .agg(*[F.bool_or(n).alias(n) for n in names])
+        .agg(*[d.alias(n) for n, d in duplicate.items()])
+        .where(" OR ".join(names))
     )
 
 
-def _all_but_first(candidates: DataFrame, check: Check, address: Sequence[str]) -> DataFrame:
+def _hash(name: str, check: Check) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(name), *check.key), 64 - HASH_BITS)
+
+
+def _spots(hash_: str, blocks: Column) -> tuple[Column, Column]:
+    """Two places of a hash in the sketch, both in one block."""
+    again = F.xxhash64(hash_)
+    start = F.pmod(again, blocks) * BLOCK_BITS + 1
+    return tuple(start + F.shiftrightunsigned(again, n).bitwiseAND(BLOCK_BITS - 1) for n in (33, 48))
+
+
+def _blocks(df: DataFrame, place: str, flags: Sequence[str]) -> DataFrame:
+    """One row per 32,768 places that has any, with a bitmap per flag of the places it holds at.
+
+    Rows are dealt by block first, so no task builds a part of every block.
+    """
+    rows = df.select(F.bitmap_bucket_number(place).alias("_bloco"), F.bitmap_bit_position(place).alias("_bit"), *flags)
+    return (
+        rows.repartition("_bloco")
+        .groupBy("_bloco")
+        .agg(*[F.bitmap_construct_agg(F.when(F.col(f), F.col("_bit"))).alias(f) for f in flags])
+    )
+
+
+def _bit(bitmap: str, place: str) -> Column:
+    """Whether a block's bitmap holds the place; NULL without a block."""
+    bit = F.bitmap_bit_position(place)
+    byte = F.substring(F.col(bitmap), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")) == 1
+
+
+def _first(candidates: DataFrame, check: Check, address: Sequence[str]) -> DataFrame:
     order = [F.struct(F.col(c).isNull(), F.col(c)).alias(f"_{i}") for i, c in enumerate(check.order)]
-    first = (
+    return (
         candidates.groupBy(*check.key)
         .agg(F.min(F.struct(*order, *address)).alias("_first"))
         .select(*[F.col(f"_first.{a}").alias(a) for a in address])
     )
-    return candidates.select(*address).join(first, list(address), "left_anti")
 
 
-def with_marks(
+def packed_marks(
+    marks: DataFrame, checks: Mapping[str, Check] = CHECKS, address: Sequence[str] = ROW_ADDRESS
+) -> DataFrame:
+    """The marks as bitmaps, one row per block of addresses: a quarter byte per raw row."""
+    (place,) = address
+    return _blocks(marks, place, list(checks))
+
+
+def fits_in_tasks(packed: DataFrame) -> bool:
+    return packed.count() <= BROADCAST_BLOCKS
+
+
+def with_packed(
     raw: DataFrame,
-    marks: DataFrame,
+    packed: DataFrame,
     checks: Mapping[str, Check] = CHECKS,
     address: Sequence[str] = ROW_ADDRESS,
 ) -> DataFrame:
-    """Raw rows plus one duplicate flag per check.
+    """Raw rows plus one duplicate flag per check, from written bitmaps.
 
-    Marks and rows meet by address, a unique and evenly spread key. The planner
-    picks the join from the measured size of the written marks.
+    The bitmaps are sent to the rows, which keep their order and files; only beyond
+    ``BROADCAST_BLOCKS`` of them the planner may move the rows.
     """
-    joined = raw.join(marks, list(address), "left")
+    (place,) = address
+    sent = F.broadcast(packed) if fits_in_tasks(packed) else packed
+    held = sent.select("_bloco", *[F.col(n).alias(f"_em_{n}") for n in checks])
+    joined = raw.withColumn("_bloco", F.bitmap_bucket_number(place)).join(held, "_bloco", "left")
     return joined.select(
         *[c for c in raw.columns if c not in address],
-        *[F.coalesce(n, F.lit(False)).alias(n) for n in checks],
+        *[F.coalesce(_bit(f"_em_{n}", place), F.lit(False)).alias(n) for n in checks],
     )
+
+
+def with_marks(
+    raw: DataFrame,
+    marks: DataFrame,
+    checks: Mapping[str, Check] = CHECKS,
+    address: Sequence[str] = ROW_ADDRESS,
+) -> DataFrame:
+    """Raw rows plus one duplicate flag per check, from one row per duplicate."""
+    packed = written(packed_marks(marks, checks, address), "marcas")
+    return with_packed(raw, packed, checks, address)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from risklake.config import CLEAN_COLUMNS, GIVEN_TABLES_BOUNDS, MARTS, RuleBounds
-from risklake.operators.dedup import duplicate_marks, with_marks
+from risklake.operators.dedup import duplicate_marks, fits_in_tasks, packed_marks, with_packed
 from risklake.operators.enrich import silver
 from risklake.operators.metrics import all_marts, pick_mart
 from risklake.operators.quality import evaluate, quality_rules, stage, with_flags
@@ -83,7 +83,7 @@ class Lake:
 
     def marked(self) -> DataFrame:
         """Raw rows with their duplicate flags, from the written marks."""
-        return with_marks(self.layer("raw_particionada"), self.layer("work/duplicatas"))
+        return with_packed(self.layer("raw_particionada"), self.layer("work/marcas"))
 
     def staged(self) -> DataFrame:
         return stage(self.marked())
@@ -96,14 +96,16 @@ class Lake:
     def mark_duplicates(self) -> None:
         """Written once, so rule evaluation and rule counts share the result."""
         marks = duplicate_marks(self.layer("raw_particionada"), keys_only=self.raw)
-        write_layer(marks, self.path("work/duplicatas"))
+        write_layer(marks, self.path("work/duplicatas"), spread=False)
+        write_layer(packed_marks(self.layer("work/duplicatas")), self.path("work/marcas"), spread=False)
 
     def refine(self) -> None:
         """Evaluate every raw row once and file it as valid or rejected.
 
-        Rows are rebalanced by month whichever join the planner chose for the
-        marks, so Bronze's files look alike at every size. Rejected rows, few per
-        input file, are gathered into well-sized quarantine files.
+        The marks come to the rows, so Bronze takes over raw's files, a month each;
+        only marks too many to send move the rows, which are then rebalanced.
+        Rejected rows, few per input file, are packed into quarantine files as scan
+        tasks pack the small files that hold them.
         """
         evaluated = evaluate(self.staged(), quality_rules(self.bounds))
         situation = F.when(F.col("motivo") == "", F.lit("valida")).otherwise(F.lit("rejeitada"))
@@ -111,9 +113,10 @@ class Lake:
             with_flags(evaluated).withColumn("situacao", situation),
             self.path("bronze"),
             ("situacao", *MONTHLY),
+            spread=not fits_in_tasks(self.layer("work/marcas")),
         )
         rejected = self.layer("bronze").where(F.col("situacao") == "rejeitada")
-        write_layer(rejected.select(*CLEAN_COLUMNS, "motivo"), self.path("quarentena"))
+        write_layer(rejected.select(*CLEAN_COLUMNS, "motivo"), self.path("quarentena"), spread=False)
 
     def build_silver(self) -> None:
         """Row-wise from Bronze; its files are already one month each."""

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from risklake.operators import dedup
 from risklake.operators.dedup import Check, duplicate_marks, with_marks
 from risklake.sources.layers import INGEST_ID, compact, write_numbered
 
@@ -107,3 +108,25 @@ def test_later_loads_are_numbered_above_earlier_ones(spark, tmp_path):
     both = spark.read.parquet(str(tmp_path / "a")).unionByName(spark.read.parquet(str(tmp_path / "b")))
     assert both.select(INGEST_ID).distinct().count() == 2000
     assert spark.read.parquet(str(tmp_path / "b")).where(f"{INGEST_ID} <= {top}").count() == 0
+
+
+def test_rows_stay_where_they_are_however_large_the_tables(spark, lake, monkeypatch):
+    """Beyond the planner's broadcast size both joins moved every whole row."""
+    flags = ["transaction_id", "repete_id", "repete_conteudo"]
+    limit, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), lake.marked().select(*flags)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = lake.marked()._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == plan.count("BroadcastExchange") > 0
+        monkeypatch.setattr(dedup, "BROADCAST_BLOCKS", 0)
+        assert before.exceptAll(lake.marked().select(*flags)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_hashes_shared_by_chance_change_no_mark(spark, monkeypatch):
+    data = [(i % 7000, i % 9000, i) for i in range(10000)]
+    expected = marks_of(spark, data)
+    assert sum(k for k, _ in expected.values()) == 3000 and sum(v for _, v in expected.values()) == 1000
+    monkeypatch.setattr(dedup, "HASH_BITS", 8)
+    assert marks_of(spark, data) == expected
