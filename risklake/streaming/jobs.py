@@ -18,6 +18,7 @@ from risklake.config import RuleBounds
 from risklake.functions.numeric import cents
 from risklake.operators.quality import evaluate, quality_rules, stage
 from risklake.plans.model import features, score
+from risklake.sources.layers import OPEN_FILES, OPEN_FILES_SETTING
 
 DELAY = "10 minutes"
 
@@ -44,6 +45,7 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.shuffle.partitions", str(wanted))
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
     return session
 
 

@@ -5,6 +5,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from risklake.operators.enrich import enrich_customer, orphans
@@ -12,8 +13,10 @@ from risklake.operators.history import customer_history, rolling_rate, weeks_abo
 from risklake.operators.labels import apply_late_labels
 from risklake.operators.metrics import mart
 from risklake.plans import loads
+from risklake.sources import layers
 from risklake.sources.incremental import incremental
 from risklake.sources.layers import MONTHLY, read_layer, reprocess, write_layer
+from risklake.streaming import jobs
 
 
 def files(path):
@@ -163,3 +166,20 @@ def test_single_mart_equals_the_combined_build(lake):
     for name, built in lake.marts().items():
         alone = mart(lake.silver, name).select(*built.columns)
         assert alone.exceptAll(built).count() == built.exceptAll(alone).count() == 0
+
+
+def test_partitioned_writes_sort_nothing(spark, tmp_path, monkeypatch):
+    """Tasks keep a file open per partition, and more partitions than files lose no row."""
+    seen, parquet = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        seen.append(spark.conf.get(layers.OPEN_FILES_SETTING))
+        return parquet(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    before = spark.conf.get(layers.OPEN_FILES_SETTING)
+    rows = spark.range(0, 5000, 1, 2).selectExpr("id", "id % 90 AS p")
+    layers.write_layer(rows, str(tmp_path / "a"), ("p",), spread=False)
+    assert seen == [str(layers.OPEN_FILES)] and spark.conf.get(layers.OPEN_FILES_SETTING) == before
+    assert rows.exceptAll(spark.read.parquet(str(tmp_path / "a")).selectExpr("id", "CAST(p AS BIGINT) AS p")).count() == 0
+    assert jobs.stream_session(spark).conf.get(layers.OPEN_FILES_SETTING) == str(layers.OPEN_FILES)
