@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -99,11 +101,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 def fit_glm(
     train: DataFrame, columns: Sequence[str] = FEATURES
 ) -> GeneralizedLinearRegressionModel:
-    """The same model as a binomial GLM, which also yields standard errors."""
+    """The same model as a binomial GLM, which also yields standard errors.
+
+    Its rounds pass over the assembled rows, which are held meanwhile as the logistic fit holds its own.
+    """
     assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(train)
-    return GeneralizedLinearRegression(
+    rows = assembled.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = GeneralizedLinearRegression(
         family="binomial", link="logit", featuresCol="features", labelCol="label", maxIter=50
-    ).fit(assembled)
+    ).fit(rows)
+    rows.unpersist()
+    return fitted
 
 
 def odds_ratios(
@@ -193,19 +201,27 @@ def score_balance(scored: DataFrame, columns: Sequence[str] = FEATURES, toleranc
     )
 
 
-def information_errors(scored: DataFrame, columns: Sequence[str] = FEATURES) -> dict[str, float]:
-    """Standard errors from the inverse of the information matrix, one aggregation over the rows.
+def information_errors(df: DataFrame, coefficients: dict[str, float]) -> dict[str, float]:
+    """Standard errors from the inverse of the information matrix at the coefficients, intercept first.
 
-    Only the matrix, one row and column per input, comes to the driver.
+    Each task adds up the matrix of its rows, one row and column per input; only such
+    matrices are shuffled, and their sum comes to the driver.
     """
-    x, weight = _inputs(columns), F.col("p_fraude") * (F.lit(1.0) - F.col("p_fraude"))
-    cells = [(i, j) for i in range(len(x)) for j in range(i + 1)]
-    sums = scored.agg(*[F.sum(weight * x[i] * x[j]).alias(f"c{i}_{j}") for i, j in cells]).first()
-    matrix = np.zeros((len(x), len(x)))
-    for i, j in cells:
-        matrix[i, j] = matrix[j, i] = sums[f"c{i}_{j}"]
-    errors = np.sqrt(np.diag(np.linalg.inv(matrix)))
-    return dict(zip(["intercepto", *columns], errors.tolist(), strict=True))
+    columns, at = list(coefficients)[1:], np.array(list(coefficients.values()))
+    size = len(at)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = np.zeros((size, size))
+        for batch in batches:
+            x = np.stack([np.ones(len(batch)), *(c.to_numpy(zero_copy_only=False) for c in batch.columns)], 1)
+            p = 1.0 / (1.0 + np.exp(-(x @ at)))
+            matrix += (x * (p * (1.0 - p))[:, None]).T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size)), pa.array(matrix.ravel())], names=["cell", "part"])
+
+    parts = df.select(*columns).mapInArrow(task, "cell long, part double")
+    cells = parts.groupBy("cell").agg(F.sum("part").alias("value")).orderBy("cell").toArrow()
+    errors = np.sqrt(np.diag(np.linalg.inv(cells["value"].to_numpy().reshape(size, size))))
+    return dict(zip(coefficients, errors.tolist(), strict=True))
 
 
 def odds_ratios_check(lake: Lake, tolerance: float = 1e-3) -> DataFrame:
@@ -213,7 +229,7 @@ def odds_ratios_check(lake: Lake, tolerance: float = 1e-3) -> DataFrame:
     fitted = lake_model(lake)
     logistic = fitted.stages[-1]
     mine = dict(zip(["intercepto", *FEATURES], [logistic.intercept, *logistic.coefficients.toArray()], strict=True))
-    errors = information_errors(score(fitted, feature_table(lake, True)))
+    errors = information_errors(feature_table(lake, True), mine)
     rows = lake.spark.createDataFrame(
         [(n, float(mine[n]), errors[n]) for n in mine], "variavel string, _coeficiente double, _erro double"
     )

@@ -1,5 +1,6 @@
 """The model recovers the planted effects and agrees with its GLM twin."""
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -109,3 +110,22 @@ def test_folds_are_scored_by_stored_models(lake, monkeypatch):
     monkeypatch.setattr(model, "score", lambda fitted, df: used.append(fitted.stages[-1].hasSummary) or score(fitted, df))
     model.cross_validated(model.feature_table(lake))
     assert used == [False] * 3
+
+
+def test_information_errors_add_up_matrices_in_tasks(spark, lake):
+    """By definition, from rows in several tasks; the rows are not scored by the model first."""
+    at = {"intercepto": -2.0, "seg_high_risk": 1.5, "log_valor": 0.1}
+    rows = model.feature_table(lake, True)
+    x = np.array([[1.0, r.seg_high_risk, r.log_valor] for r in rows.collect()])
+    p = 1 / (1 + np.exp(-x @ list(at.values())))
+    wanted = np.sqrt(np.diag(np.linalg.inv((x * (p * (1 - p))[:, None]).T @ x)))
+    got = model.information_errors(rows.repartition(5), at)
+    assert list(got) == list(at) and list(got.values()) == pytest.approx(wanted.tolist(), rel=1e-9)
+
+
+def test_the_glm_reads_its_rows_once(spark, lake, monkeypatch):
+    """Assembled rows are held while its rounds pass over them, and let go afterwards."""
+    held, fit = [], model.GeneralizedLinearRegression.fit
+    monkeypatch.setattr(model.GeneralizedLinearRegression, "fit", lambda self, df: held.append((df, df.storageLevel.useMemory)) or fit(self, df))
+    model.fit_glm(model.feature_table(lake, True))
+    assert [kept for _, kept in held] == [True] and not held[0][0].storageLevel.useMemory
