@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,9 +109,8 @@ def _surveyed(docs: DataFrame, n: int, width: int) -> DataFrame:
     return by_arrow(_texts(docs), task, "doc long, tag long, node long, size long, block int, cells binary")
 
 
-def _prefixes(docs: DataFrame, n: int, share: Fraction, sketch: Sketch) -> DataFrame:
-    """First n-grams of each set in the global order: all that a similar set could share first."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+def _prefixes(docs: DataFrame, n: int, share: Fraction, shared: Broadcast) -> DataFrame:
+    """First n-grams of each set in the global order of a sent sketch: all that a similar set could share first."""
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,14 +132,12 @@ def _prefixes(docs: DataFrame, n: int, share: Fraction, sketch: Sketch) -> DataF
     return by_arrow(_texts(docs), task, "token long, node long, size int, pos int")
 
 
-def _segments(docs: DataFrame, n: int, sketch: Sketch, wanted: Sketch, fragments: int) -> DataFrame:
+def _segments(docs: DataFrame, n: int, order: Broadcast, marked: Broadcast, bounds: np.ndarray) -> DataFrame:
     """Sets of the wanted nodes cut into fragments: (node, fragment, tokens)."""
-    shared = docs.sparkSession.sparkContext.broadcast((sketch, wanted, cuts(sketch, fragments)))
     schema = pa.schema([("node", pa.int64()), ("fragment", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, wanted, bounds = shared.value
-        seen = set()
+        sketch, wanted, seen = order.value, marked.value, set()
         for part, texts in text_chunks(batches, "text", lower=True):
             nodes, which, tokens = [], [], []
             docs = pc.fill_null(part.column("doc"), -1).to_numpy()
@@ -170,10 +168,13 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, n: int, share: Fraction, width: int = WIDTH, fragments: int = FRAGMENTS):
         self.docs, self.n, self.share, self.fragments = docs, n, share, fragments
         survey = kept(_surveyed(docs, n, width), "shingle-survey")
-        self.sketch = merged(only(survey, True), width, 1, "uint32")
+        sketch = merged(only(survey, True), width, 1, "uint32")
+        # Sent once; the driver keeps no copy of its own, and none is left when labels() is done.
+        self.order, self.bounds = docs.sparkSession.sparkContext.broadcast(sketch), cuts(sketch, fragments)
+        del sketch
         self.members = kept(only(survey, False).drop("block", "cells"), "shingle-members")
         dropped(survey)
-        rows = kept(_prefixes(docs, n, share, self.sketch), "prefixes")
+        rows = kept(_prefixes(docs, n, share, self.order), "prefixes")
         often = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
         together = rows.join(often.select("token"), "token").groupBy("token", "node").agg(
             F.first("size").alias("size"), F.first("pos").alias("pos")
@@ -199,8 +200,9 @@ class JaccardJoin:
         up, down = self.share.numerator, self.share.denominator
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         docs = self.members.join(ends, "node", "left_semi").groupBy("node").agg(F.coalesce(F.min("doc"), F.lit(-1)).alias("doc"))
-        wanted = marks(docs, "doc", WANTED_WIDTH)
-        cut = kept(_segments(self.docs, self.n, self.sketch, wanted, self.fragments), "segments")
+        wanted = docs.sparkSession.sparkContext.broadcast(marks(docs, "doc", WANTED_WIDTH))
+        cut = kept(_segments(self.docs, self.n, self.order, wanted, self.bounds), "segments")
+        wanted.destroy()
         one = cut.repartition("node", "fragment").select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("a_tokens"))
         two = cut.select(F.col("node").alias("b"), "fragment", F.col("tokens").alias("b_tokens"))
         each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(self.fragments - 1))))
@@ -277,6 +279,7 @@ class JaccardJoin:
             found = self.verified(kept(pairs, "pairs"))
             links = found if links is None else links.unionByName(found)
             labels = kept(components(links), "labels")
+        self.order.destroy()
         return labels
 
 

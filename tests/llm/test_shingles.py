@@ -63,3 +63,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 60)] + [(5, 5), (2, 1)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {i: 100 for i in range(100, 161)} | {i: 1 for i in range(1, 60)}
+
+
+def test_sent_sketches_are_given_up(spark, monkeypatch):
+    """The order is sent once, marks once a round; the driver holds none of them afterwards."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(send(self, value)) or sent[-1])
+    texts = [" ".join(f"w{i % 3}x{j}" for j in range(30)) for i in range(9)]
+    found = similar_groups(documents(spark, texts)).collect()
+    assert {r.component_id for r in found} == {0, 1, 2}
+    assert len(sent) == 3 and not any(b._jbroadcast.isValid() for b in sent)
