@@ -15,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from risklake.llm.scratch import dropped, kept
 from risklake.llm.words import mixed
 
 BLOCK = 1 << 16
+FETCHED = 1 << 23
 
 
 class Sketch:
@@ -91,6 +93,19 @@ class SmallSketch(Sketch):
         part[:] = sums
 
 
+def _fetched(rows: DataFrame, out: Sketch) -> Sketch:
+    """``out`` with the merged blocks, which come to the driver some FETCHED bytes and one job at a time.
+
+    They are merged by all tasks and written first: an iterator over the shuffle itself
+    would run a job for each of its partitions, however small.
+    """
+    table = kept(rows, "sketch-blocks")
+    for row in table.coalesce(max(out.cells.nbytes // FETCHED, 1)).toLocalIterator():
+        out.add_block(row["block"], bytes(row["cells"]))
+    dropped(table)
+    return out
+
+
 def merged_small(parts: DataFrame, width: int, depth: int) -> SmallSketch:
     """One sketch of two-bit counters from the rows (block, cells) of all tasks."""
     size = min(4 * BLOCK, width * depth)
@@ -105,10 +120,7 @@ def merged_small(parts: DataFrame, width: int, depth: int) -> SmallSketch:
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), cells], names=["block", "cells"])
 
     rows = parts.select("block", "cells").repartition("block").mapInArrow(total, "block int, cells binary")
-    out = SmallSketch(width, depth)
-    for row in rows.toLocalIterator():
-        out.add_block(row["block"], bytes(row["cells"]))
-    return out
+    return _fetched(rows, SmallSketch(width, depth))
 
 
 def merged(parts: DataFrame, width: int, depth: int = 1, kind: str = "uint8") -> Sketch:
@@ -131,10 +143,7 @@ def merged(parts: DataFrame, width: int, depth: int = 1, kind: str = "uint8") ->
             )
 
     rows = parts.select("block", "cells").repartition("block").mapInArrow(total, "block int, cells binary")
-    out = Sketch(width, depth, kind)
-    for row in rows.toLocalIterator():
-        out.add_block(row["block"], bytes(row["cells"]))
-    return out
+    return _fetched(rows, Sketch(width, depth, kind))
 
 
 def marks(rows: DataFrame, column: str, width: int, depth: int = 1) -> Sketch:

@@ -6,6 +6,7 @@ from tests.llm.brute import documents, shingles, similar
 from pyspark.sql import functions as F
 from risklake.llm.components import components
 from risklake.llm.shingles import one_of_each, similar_groups
+from risklake.llm.sketch import marks
 
 
 def family(rng, base, n, edits):
@@ -73,3 +74,18 @@ def test_sent_sketches_are_given_up(spark, monkeypatch):
     found = similar_groups(documents(spark, texts)).collect()
     assert {r.component_id for r in found} == {0, 1, 2}
     assert len(sent) == 3 and not any(b._jbroadcast.isValid() for b in sent)
+
+
+def test_a_sketch_comes_in_few_jobs(spark):
+    """Not one for every partition of its shuffle; the counts are all there."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("few-jobs", "")
+    found = marks(spark.range(5000).select(F.xxhash64("id").alias("h")), "h", 1 << 20)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert found.cells.sum() == 5000 and len(jobs) < 10
