@@ -332,8 +332,13 @@ def one_of_each(
         F.col("doc").alias("_ng_doc"), F.col("tag").alias("_ng_tag"), F.col("times").alias("_ng_times")
     )
     named = docs.withColumns({"_ng_id": F.col(doc_id).cast("long"), "_ng_text": F.xxhash64(text)})
-    left = named.join(keep, F.col("_ng_id").eqNullSafe(F.col("_ng_doc")) & (F.col("_ng_text") == F.col("_ng_tag")))
+    # Ids and tags are hashed, so that whole texts are not sorted to meet them.
+    left = named.join(
+        keep.hint("shuffle_hash"), F.col("_ng_id").eqNullSafe(F.col("_ng_doc")) & (F.col("_ng_text") == F.col("_ng_tag"))
+    )
     once = left.filter("_ng_times = 1").select(*docs.columns)
+    if keep.filter("_ng_times > 1").isEmpty():
+        return once
     more = left.filter("_ng_times > 1").dropDuplicates(["_ng_id", "_ng_text"]).select(*docs.columns)
     return once.unionByName(more)
 

@@ -89,3 +89,19 @@ def test_a_sketch_comes_in_few_jobs(spark):
     for k, v in before.items():
         spark.conf.set(k, v)
     assert found.cells.sum() == 5000 and len(jobs) < 10
+
+
+def test_whole_texts_are_not_sorted_to_drop_copies(spark):
+    """The last join hashes ids and tags; rows that repeat an id and text are met apart, only if there are any."""
+    text = " ".join(f"w{i}" for i in range(40))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unique = one_of_each(documents(spark, [text, text + " end", "other words here", ""]))
+        repeated = one_of_each(documents(spark, [text, text, "other words here", ""], [1, 1, 2, 3]))
+        plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (unique, repeated)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [p.count("ShuffledHashJoin") for p in plans] == [1, 2]
+    assert not any("SortMergeJoin" in p for p in plans)
+    assert sorted(r.doc_id for r in unique.collect()) == [0, 2, 3]
+    assert sorted(r.doc_id for r in repeated.collect()) == [1, 2, 3]
