@@ -273,3 +273,25 @@ def test_what_no_probability_holds_is_no_entry(spark):
     plain = model.log_ratio(np.array([9, 9], np.uint64), word)
     found = model.log_ratio(before, word)
     assert found[0] == plain[0] and found[1] > plain[1] + 1
+
+
+def test_a_model_in_parts_is_whole(spark, monkeypatch):
+    """Whatever a task holds at once, every word, context and bigram with evidence has its say."""
+    texts, labels = corpus(600, seed=14)
+    for i, _, toxic in labels:
+        texts[i] += " you oaf" if toxic else " you there" if i % 2 else " thank you"
+    frame = spark.createDataFrame([(t.encode(), y) for t, (_, _, y) in zip(texts, labels, strict=True)], "text binary, label long")
+    counts = tox.kept(tox._counted(frame), "test-counts")
+    whole = tox.fitted(counts)
+    fewest = min(len(keys) for keys, _ in whole.tables)
+    assert whole.bits == (0, 0, 0) and fewest > 1
+    parted = tox.fitted(counts, fewest - 1)
+    assert min(parted.bits) > 0 and len(parted.tables) == sum(1 << b for b in parted.bits)
+    assert sum(len(t.value[0]) for t in parted.tables) == sum(len(keys) for keys, _ in whole.tables)
+    given = Texts([t.lower().encode() for t in texts], NOT_PLAIN)
+    assert parted.evidence(given) == pytest.approx(whole.evidence(given), rel=1e-9, abs=1e-12)
+    df, labelled = documents(spark, texts).repartition(3), spark.createDataFrame(labels, LABEL)
+    alone = {r.doc_id: r.score for r in toxicity(df, labelled).collect()}
+    monkeypatch.setattr(tox, "MODEL_ENTRIES", fewest - 1)
+    monkeypatch.setattr(tox, "LOOKED_UP", 2000)
+    assert {r.doc_id: r.score for r in toxicity(df, labelled).collect()} == pytest.approx(alone, rel=1e-6, abs=1e-12)
