@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.config import CONTENT_KEY
-from risklake.session import written
+from risklake.session import shuffles_dropped, written
 from risklake.sources.layers import ROW_ADDRESS
 
 
@@ -88,18 +88,15 @@ def duplicate_marks(
     """
     names = list(checks)
     source = df if keys_only is None else keys_only
-    contested = written(
-        source.select(F.explode(F.array(*[_hash(n, checks[n]) for n in names])).alias("_h"))
-        .groupBy("_h")
-        .agg(F.count("*").alias("_n"))
-        .where("_n > 1")
-        .select("_h"),
-        "contestados",
-    )
+    hashes = source.select(F.explode(F.array(*[_hash(n, checks[n]) for n in names])).alias("_h"))
+    counted = hashes.groupBy("_h").agg(F.count("*").alias("_n"))
+    with shuffles_dropped(df.sparkSession):
+        contested = written(counted.where("_n > 1").select("_h"), "contestados")
     wanted = -(-contested.count() * BITS_PER_HASH // BLOCK_BITS)
     blocks = F.lit(max(1, min(wanted, SKETCH_BITS // BLOCK_BITS)))
     spots = F.explode(F.array(*_spots("_h", blocks))).alias("_p")
-    sketch = written(_blocks(contested.select(spots, F.lit(True).alias("_v")), "_p", ["_v"]), "contestados-bits")
+    with shuffles_dropped(df.sparkSession):
+        sketch = written(_blocks(contested.select(spots, F.lit(True).alias("_v")), "_p", ["_v"]), "contestados-bits")
 
     def suspects(name: str, columns: Sequence[str]) -> DataFrame:
         """Rows whose hash is in the sketch: all contested ones, and a few by chance."""

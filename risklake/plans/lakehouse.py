@@ -90,8 +90,8 @@ class Lake:
 
     # -- build steps -------------------------------------------------------
 
-    def load_raw(self, raw: DataFrame) -> None:
-        write_numbered(with_month(raw), self.path("raw_particionada"))
+    def load_raw(self, raw: DataFrame, spread: bool = True) -> None:
+        write_numbered(with_month(raw), self.path("raw_particionada"), spread=spread)
 
     def mark_duplicates(self) -> None:
         """Written once, so rule evaluation and rule counts share the result."""

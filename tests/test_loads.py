@@ -13,6 +13,7 @@ from risklake.operators.history import customer_history, rolling_rate, weeks_abo
 from risklake.operators.labels import apply_late_labels
 from risklake.operators.metrics import mart
 from risklake.plans import loads
+from risklake.plans.faults import rule_matrix
 from risklake.sources import layers
 from risklake.sources.incremental import incremental
 from risklake.sources.layers import MONTHLY, read_layer, reprocess, write_layer
@@ -183,3 +184,17 @@ def test_partitioned_writes_sort_nothing(spark, tmp_path, monkeypatch):
     assert seen == [str(layers.OPEN_FILES)] and spark.conf.get(layers.OPEN_FILES_SETTING) == before
     assert rows.exceptAll(spark.read.parquet(str(tmp_path / "a")).selectExpr("id", "CAST(p AS BIGINT) AS p")).count() == 0
     assert jobs.stream_session(spark).conf.get(layers.OPEN_FILES_SETTING) == str(layers.OPEN_FILES)
+
+
+def test_the_trial_of_rules_moves_no_rows_to_load_them(lake, tmp_path, monkeypatch):
+    plans, parquet = {}, DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        plans[path] = self._df._jdf.queryExecution().executedPlan().toString()
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    trial = str(tmp_path / "falhas")
+    tested = rule_matrix(lake, trial).collect()
+    assert "Exchange" not in plans[f"{trial}/raw_particionada"]
+    assert len(tested) == 12 and all(r.linhas == r.conformes for r in tested)
