@@ -186,6 +186,25 @@ def test_partitioned_writes_sort_nothing(spark, tmp_path, monkeypatch):
     assert jobs.stream_session(spark).conf.get(layers.OPEN_FILES_SETTING) == str(layers.OPEN_FILES)
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_what_a_layer_shuffles_leaves_the_disk(spark, lake):
+    """Loads and compaction each give up what they shuffled once their files are written."""
+    before = shuffle_files(spark)
+    report = loads.compacted(lake)
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert sum(r.linhas_depois for r in report.collect()) == lake.raw.count()
+
+
 def test_the_trial_of_rules_moves_no_rows_to_load_them(lake, tmp_path, monkeypatch):
     plans, parquet = {}, DataFrameWriter.parquet
 
